@@ -239,3 +239,133 @@ def with_views(select: str) -> str:
 def rounded(columns: str, digits: int = 6) -> str:
     """``round`` with the sign of zero dropped, for each listed column."""
     return ", ".join(f"round({c}, {digits}) + 0.0 AS {c}" for c in columns.split())
+
+
+# -- the small detector of the registered queries ------------------------------------------
+
+HST_FEATURES = [
+    "arrival_delay_t", "departure_delay_t", "headway_t", "rel_headway_t", "delay_arrival_grad_t",
+    "delay_departure_grad_t", "upstream_delay_mean_2", "downstream_delay_max_2", "delay_mean_5",
+    "delay_std_5", "delay_mean_15", "headway_p90_60", "sin_hour", "cos_hour", "day_type",
+    "node_degree", "hub_flag", "congestion_level", "occupancy_status", "central_flag",
+    "is_train_present",
+]
+_ACTIVE = [
+    f for f in HST_FEATURES
+    if f not in {"sin_hour", "cos_hour", "day_type", "node_degree", "hub_flag", "central_flag"}
+]
+
+
+def _tree_values(cfg) -> str:
+    from stopwise.operators.spacetrees import build_trees
+
+    feature, split = build_trees(
+        cfg.n_trees, cfg.height, len(HST_FEATURES), cfg.seed, cfg.lower, cfg.upper
+    )
+    rows = [
+        f"({t}, {n}, '{HST_FEATURES[feature[t, n]]}', CAST('{split[t, n]!r}' AS DOUBLE))"
+        for t in range(cfg.n_trees)
+        for n in range(1, 1 << cfg.height)
+    ]
+    return "SELECT * FROM (VALUES " + ", ".join(rows).replace("np.float64(", "").replace(
+        ")'", "'"
+    ) + ") v(tree, node, feature, split)"
+
+
+def _walks(source: str, trees: str, height: int) -> str:
+    """Leaf of every row of ``source`` (long: rid, feature, value) in every tree."""
+    sql = f"SELECT r.rid, t.tree, 1 AS node FROM (SELECT DISTINCT rid FROM {source}) r, (SELECT DISTINCT tree FROM {trees}) t"
+    for _ in range(height):
+        sql = (
+            f"SELECT w.rid, w.tree, 2 * w.node + CAST(x.value >= t.split AS INTEGER) AS node"
+            f" FROM ({sql}) w JOIN {trees} t ON t.tree = w.tree AND t.node = w.node"
+            f" JOIN {source} x ON x.rid = w.rid AND x.feature = t.feature"
+        )
+    return sql
+
+
+def detector_views(cfg, name: str) -> dict[str, str]:
+    """Views ``<name>_scores`` and ``<name>_flags`` of the detector with settings ``cfg``."""
+    n, h, psi = name, cfg.height, cfg.window_size
+    raw = "0.0"
+    for depth in range(h, -1, -1):
+        step = f"m{depth} * {2.0 ** depth}"
+        raw = f"({step} + CASE WHEN m{depth} >= {0.1 * psi} THEN {raw} ELSE 0.0 END)"
+    masses = "\n".join(
+        f"LEFT JOIN {n}_mass m{d} ON m{d}.day = r.day AND m{d}.win = r.win - 1"
+        f" AND m{d}.tree = w.tree AND m{d}.depth = {d} AND m{d}.node = w.node >> {h - d}"
+        for d in range(h + 1)
+    )
+    picked = ", ".join(f"coalesce(m{d}.mass, 0) AS m{d}" for d in range(h + 1))
+    top = cfg.n_trees * psi * (2.0 ** (h + 1) - 1)
+    return {
+        f"{n}_trees": _tree_values(cfg),
+        f"{n}_win": f"SELECT rid, day, seq, (seq - 1) // {psi} AS win FROM det",
+        f"{n}_walk": _walks("detlong", f"{n}_trees", h),
+        f"{n}_mass": "\nUNION ALL\n".join(
+            f"SELECT r.day, r.win, w.tree, {d} AS depth, w.node >> {h - d} AS node,"
+            f" count(*) AS mass FROM {n}_walk w JOIN {n}_win r USING (rid)"
+            f" GROUP BY r.day, r.win, w.tree, w.node >> {h - d}"
+            for d in range(h + 1)
+        ),
+        f"{n}_scores": f"""
+          SELECT d.rid, d.day, d.ts, d.stop_id, d.direction_id, d.seq,
+                 CASE WHEN d.seq <= {psi} THEN 0.0 ELSE 1.0 - s.raw / {top} END AS anomaly_score
+          FROM det d JOIN (
+            SELECT rid, sum({raw}) AS raw FROM (
+              SELECT w.rid, {picked} FROM {n}_walk w JOIN {n}_win r USING (rid) {masses})
+            GROUP BY rid) s USING (rid)""",
+        f"{n}_flags": f"""
+          SELECT a.rid, a.day, a.ts, a.stop_id, a.direction_id, a.seq, a.anomaly_score,
+                 CAST(a.seq >= {psi} AND count(b.rid) >=
+                      floor({psi - 1} * CAST({cfg.threshold_quantile} AS DOUBLE)) + 1 AS INTEGER)
+                   AS anomaly_flag
+          FROM {n}_scores a LEFT JOIN {n}_scores b
+            ON b.day = a.day AND b.seq > a.seq - {psi} AND b.seq <= a.seq
+           AND b.anomaly_score < a.anomaly_score
+          GROUP BY a.rid, a.day, a.ts, a.stop_id, a.direction_id, a.seq, a.anomaly_score""",
+    }
+
+
+VIEWS["det"] = f"""
+  SELECT *, row_number() OVER (PARTITION BY day ORDER BY ts, stop_id, direction_id) AS seq,
+         row_number() OVER (ORDER BY ts, stop_id, direction_id) AS rid
+  FROM (SELECT CAST({_sydney("snapshot_timestamp")} - INTERVAL 3 HOUR AS DATE) AS day,
+               snapshot_timestamp AS ts, stop_id, direction_id,
+               {", ".join(f"CAST(coalesce({f}, 0) AS DOUBLE) AS {f}" for f in HST_FEATURES)}
+        FROM feat)
+  WHERE {" + ".join(f"abs({f})" for f in _ACTIVE)} <> 0"""
+VIEWS["detlong"] = f"UNPIVOT det ON {', '.join(HST_FEATURES)} INTO NAME feature VALUE value"
+
+
+def explain_view(cfg, name: str, condition: str) -> str:
+    """Top three score changes per explained row, one row per feature."""
+    psi, h = cfg.window_size, cfg.height
+    raw = "0.0"
+    for depth in range(h, -1, -1):
+        raw = (
+            f"(m{depth} * {2.0 ** depth} + CASE WHEN m{depth} >= {0.1 * psi}"
+            f" THEN {raw} ELSE 0.0 END)"
+        )
+    masses = "\n".join(
+        f"LEFT JOIN {name}_mass m{d} ON m{d}.day = r.day AND m{d}.win = r.win - 1"
+        f" AND m{d}.tree = w.tree AND m{d}.depth = {d} AND m{d}.node = w.node >> {h - d}"
+        for d in range(h + 1)
+    )
+    picked = ", ".join(f"coalesce(m{d}.mass, 0) AS m{d}" for d in range(h + 1))
+    top = cfg.n_trees * psi * (2.0 ** (h + 1) - 1)
+    place = " ".join(f"WHEN '{f}' THEN {i}" for i, f in enumerate(HST_FEATURES))
+    return f"""
+      SELECT rid, feature, contribution, row_number() OVER (
+               PARTITION BY rid ORDER BY abs(contribution) DESC, CASE feature {place} END) AS rnk
+      FROM (
+        SELECT v.rid, v.zeroed AS feature,
+               CASE WHEN s.seq <= {psi} THEN 0.0
+                    ELSE s.anomaly_score - (1.0 - sum({raw}) / {top}) END AS contribution
+        FROM (SELECT vw.vid, vw.tree, vw.node, {picked}, k.rid, k.zeroed
+              FROM ({_walks("xlong", f"{name}_trees", h).replace("rid", "vid")}) vw
+              JOIN xkeys k USING (vid)
+              JOIN {name}_win r ON r.rid = k.rid
+              {masses.replace("w.", "vw.")}) v
+        JOIN {name}_scores s ON s.rid = v.rid
+        GROUP BY v.rid, v.zeroed, s.seq, s.anomaly_score)"""

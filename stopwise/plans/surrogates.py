@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
         .selectExpr(
@@ -33,13 +33,18 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times spread over a year, so that clock changes are among them."""
+    return events(spark, sf_dir).selectExpr("event_id", "e + user_id % 12 * 2592000 AS e2")
+
+
 def minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).select("snapshot_minute").distinct()
+    return events(spark, sf_dir).select("snapshot_minute").distinct()
 
 
 def trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _events(spark, sf_dir)
+        events(spark, sf_dir)
         .filter("event_type <> 'error'")
         .withColumn("arrival_time", F.expr("snapshot_minute + cast(floor(value * 30) AS bigint)"))
         .selectExpr(
@@ -65,7 +70,7 @@ def trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _events(spark, sf_dir)
+        events(spark, sf_dir)
         .filter("event_type = 'view'")
         .selectExpr(
             "event_id",
@@ -83,7 +88,7 @@ def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _events(spark, sf_dir)
+        events(spark, sf_dir)
         .filter("event_type = 'error'")
         .selectExpr(
             "event_id",
@@ -101,7 +106,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _events(spark, sf_dir)
+        events(spark, sf_dir)
         .withColumn("anomaly_score", F.expr("floor(value * 100) % 1000 / 1000.0D"))
         .selectExpr(
             "event_id",

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stopwise.functions import clock
 from stopwise.schemas import DOCUMENT_SCHEMAS, TABLE_SCHEMAS
@@ -27,6 +28,10 @@ def _matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def _with_corrupt(feed: str) -> T.StructType:
+    return T.StructType([*DOCUMENT_SCHEMAS[feed], T.StructField(_CORRUPT, T.StringType())])
+
+
 def find_feed_files(spark: SparkSession, raw_root: str, feed: str) -> str | None:
     """Glob of the files of ``feed``: its folder first, then names at the root."""
     candidates = (
@@ -49,7 +54,7 @@ def read_documents(
     Files are selected before their bodies are read: the condition only uses file
     metadata, which Spark applies when it lists the files.
     """
-    schema = DOCUMENT_SCHEMAS[feed].add(_CORRUPT, "string")
+    schema = _with_corrupt(feed)
     docs = (
         spark.read.schema(schema)
         .option("multiLine", True)
@@ -67,7 +72,7 @@ def read_documents(
 
 def parse_documents(df: DataFrame, text: str, feed: str) -> DataFrame:
     """Turn a column of document texts into the same shape as :func:`read_documents`."""
-    schema = DOCUMENT_SCHEMAS[feed].add(_CORRUPT, "string")
+    schema = _with_corrupt(feed)
     parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": _CORRUPT})
     others = [c for c in df.columns if c != text]
     return df.select(*others, parsed.alias("_doc")).select(*others, "_doc.*")
