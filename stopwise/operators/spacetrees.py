@@ -2,8 +2,8 @@
 
 A row is scored with the masses of the last full window before it and counted
 into its own window afterwards. So the rows of window ``w`` only need the rows
-of window ``w - 1``: one Spark group per window holds those two, at most
-``2 * window_size`` rows, whatever the length of the stream. Inside a group the
+of window ``w - 1``: a Spark group of a few windows and the one before them has
+a fixed largest size, whatever the length of the stream. Inside a group the
 trees are walked with numpy for all rows at once; a relational form would
 shuffle one row per row and tree instead.
 """
@@ -108,6 +108,10 @@ def _scores(
 _SLICE = 4096
 
 
+def _sliced(n: int) -> list[slice]:
+    return [slice(i, i + _SLICE) for i in range(0, n, _SLICE)]
+
+
 def _score_window(
     earlier: np.ndarray, own: np.ndarray, cfg: DetectorConfig, explain: np.ndarray | None
 ) -> tuple[np.ndarray, np.ndarray | None]:
@@ -119,20 +123,15 @@ def _score_window(
     feature, split = build_trees(
         cfg.n_trees, cfg.height, n_features, cfg.seed, cfg.lower, cfg.upper
     )
-    parts = [
-        _leaves(earlier[i : i + _SLICE], feature, split, cfg.height)
-        for i in range(0, len(earlier), _SLICE)
-    ]
-    values = _leaf_values(np.concatenate(parts), cfg.height, cfg.window_size)
+    leaves = [_leaves(earlier[i], feature, split, cfg.height) for i in _sliced(len(earlier))]
+    values = _leaf_values(np.concatenate(leaves), cfg.height, cfg.window_size)
     scores = np.concatenate(
-        [
-            _scores(own[i : i + _SLICE], values, feature, split, cfg)
-            for i in range(0, len(own), _SLICE)
-        ]
+        [_scores(own[i], values, feature, split, cfg) for i in _sliced(len(own))]
     )
     if explain is not None:
-        for i in range(0, int(explain.sum()), _SLICE):
-            chosen = np.flatnonzero(explain)[i : i + _SLICE]
+        marked = np.flatnonzero(explain)
+        for i in _sliced(len(marked)):
+            chosen = marked[i]
             for f in range(n_features):
                 without = own[chosen].copy()
                 without[:, f] = 0.0
@@ -140,6 +139,38 @@ def _score_window(
     return scores, changes
 
 
+# Rows a group aims at; a window larger than this makes a group of its own.
+GROUP_ROWS = 30_000
+
+
+def windows_per_group(window_size: int) -> int:
+    return max(1, GROUP_ROWS // window_size)
+
+
+def by_structure(values: dict[str, int]) -> Column:
+    """Look up a whole number by ``structure_id``."""
+    pairs = [x for sid, n in values.items() for x in (F.lit(sid), F.lit(n))]
+    return F.element_at(F.create_map(*pairs), F.col("structure_id"))
+
+
+def spread_windows(rows: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Add ``_window``, ``_group`` and ``_own``; a group also gets the window before it.
+
+    A group takes several small windows or one large one, so it never holds more
+    than ``max(GROUP_ROWS, window_size) + window_size`` rows.
+    """
+    together = by_structure({s: windows_per_group(n) for s, n in sizes.items()})
+    window = F.floor((F.col("seq") - 1) / by_structure(sizes)).cast("long")
+    placed = rows.withColumn("_window", window).withColumn("_together", together)
+    home = F.floor(F.col("_window") / F.col("_together")).cast("long")
+    next_home = F.floor((F.col("_window") + 1) / F.col("_together")).cast("long")
+    return (
+        placed.withColumn("_group", F.explode(F.array_distinct(F.array(home, next_home))))
+        .withColumn("_own", F.col("_group") == home)
+        .drop("_together")
+    )
+
+
 def score_windows(
     rows: DataFrame,
     features: Sequence[str],
@@ -152,51 +183,43 @@ def score_windows(
 
     ``stream`` includes ``structure_id``, which selects the settings in ``cfgs``.
     """
-    features, stream, keys = list(features), list(stream), list(keys)
-    sizes = F.create_map(
-        *[x for sid, c in cfgs.items() for x in (F.lit(sid), F.lit(c.window_size))]
-    )
-    window = F.floor((F.col("seq") - 1) / F.col("_size")).cast("long")
-    numbered = rows.withColumn("_size", F.element_at(sizes, F.col("structure_id"))).select(
-        *stream,
-        *keys,
-        "seq",
-        window.alias("_window"),
-        (explain if explain is not None else F.lit(False)).alias("_explain"),
+    passed = [*stream, *keys, "seq"]
+    wanted = explain is not None
+    taken = rows.select(
+        *passed,
+        (explain if wanted else F.lit(False)).alias("_explain"),
         F.array(*[F.col(f).cast("double") for f in features]).alias("_x"),
     )
-    # Each row goes to its own window, and as mass to the one after.
-    spread = numbered.withColumn(
-        "_group", F.explode(F.array(F.col("_window"), F.col("_window") + 1))
-    )
-    wanted = explain is not None
-    schema = spread.select(*stream, *keys, "seq").schema
-    schema = schema.add("anomaly_score", "double")
+    spread = spread_windows(taken, {s: c.window_size for s, c in cfgs.items()})
+    fields = [*taken.select(*passed).schema, T.StructField("anomaly_score", T.DoubleType())]
     if wanted:
-        schema = schema.add("changes", T.ArrayType(T.DoubleType()))
-    passed = [*stream, *keys, "seq"]
+        fields.append(T.StructField("changes", T.ArrayType(T.DoubleType())))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        own = group["_window"].to_numpy() == group["_group"].to_numpy()
-        mine = group.loc[own]
+        mine = group.loc[group["_own"]].sort_values("seq")
         out = mine[passed].copy()
-        if mine.empty:
-            out["anomaly_score"] = np.zeros(0)
-            if wanted:
-                out["changes"] = [[] for _ in range(0)]
-            return out
-        cfg = cfgs[mine["structure_id"].iloc[0]]
-        earlier = group.loc[~own, "_x"]
-        x_own = np.stack(mine["_x"].to_numpy())
-        x_earlier = np.stack(earlier.to_numpy()) if len(earlier) else x_own[:0]
-        mask = mine["_explain"].to_numpy() if wanted else None
-        scores, changes = _score_window(x_earlier, x_own, cfg, mask)
-        out["anomaly_score"] = scores
+        score = np.zeros(len(mine))
+        change = np.empty(len(mine), dtype=object)
+        if len(mine):
+            cfg = cfgs[mine["structure_id"].iloc[0]]
+            x = {w: np.stack(part.to_numpy()) for w, part in group.groupby("_window")["_x"]}
+            window = mine["_window"].to_numpy()
+            marked = mine["_explain"].to_numpy()
+            for w in np.unique(window):
+                # The stack above keeps the group's order; this one is by seq.
+                here = np.flatnonzero(window == w)
+                own = np.stack(mine["_x"].to_numpy()[here])
+                mask = marked[here] if wanted else None
+                score[here], moved = _score_window(x.get(w - 1, own[:0]), own, cfg, mask)
+                if wanted:
+                    for place in np.flatnonzero(mask):
+                        change[here[place]] = moved[place]
+        out["anomaly_score"] = score
         if wanted:
-            out["changes"] = [c if m else None for c, m in zip(changes, mask)]
+            out["changes"] = pd.Series(change, index=out.index, dtype=object)
         return out
 
-    return spread.groupBy(*stream, "_group").applyInPandas(run, schema)
+    return spread.groupBy(*stream, "_group").applyInPandas(run, T.StructType(fields))
 
 
 def top_changes(features: Sequence[str], n: int = 3) -> Column:

@@ -15,6 +15,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stopwise.operators.spacetrees import spread_windows
 
 
 def _smaller_in_window(scores: np.ndarray, window_size: int) -> np.ndarray:
@@ -34,31 +37,21 @@ def rolling_ranks(
 ) -> DataFrame:
     """Add ``n_smaller``, the number of smaller scores in the row's window.
 
-    A group is one block of ``window_size`` rows with the block before it, at
-    most ``2 * window_size`` narrow rows.
+    A group is a few windows of narrow rows with the window before them; see
+    :func:`stopwise.operators.spacetrees.spread_windows` for its largest size.
     """
-    stream, keys = list(stream), list(keys)
-    size = F.element_at(
-        F.create_map(*[x for sid, n in sizes.items() for x in (F.lit(sid), F.lit(n))]),
-        F.col("structure_id"),
-    )
-    block = F.floor((F.col("seq") - 1) / size).cast("long")
-    spread = (
-        scored.select(*stream, *keys, "seq", "anomaly_score")
-        .withColumn("_block", block)
-        .withColumn("_group", F.explode(F.array(F.col("_block"), F.col("_block") + 1)))
-    )
-    schema = spread.select(*stream, *keys, "seq", "anomaly_score").schema.add("n_smaller", "long")
-    passed = schema.names[:-1]
+    passed = [*stream, *keys, "seq", "anomaly_score"]
+    taken = scored.select(*passed)
+    spread = spread_windows(taken, sizes)
+    schema = T.StructType([*taken.schema, T.StructField("n_smaller", T.LongType())])
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        own = group["_block"] == group["_group"]
-        if not own.any():
-            return group.loc[own, passed].assign(n_smaller=np.zeros(0, dtype=np.int64))
         ordered = group.sort_values("seq")
-        n = sizes[ordered["structure_id"].iloc[0]]
-        ranks = _smaller_in_window(ordered["anomaly_score"].to_numpy(), n)
-        mine = (ordered["_block"] == ordered["_group"]).to_numpy()
+        mine = ordered["_own"].to_numpy(dtype=bool)
+        ranks = np.zeros(len(ordered), dtype=np.int64)
+        if mine.any():
+            size = sizes[ordered["structure_id"].iloc[0]]
+            ranks = _smaller_in_window(ordered["anomaly_score"].to_numpy(), size)
         return ordered.loc[mine, passed].assign(n_smaller=ranks[mine])
 
     return spread.groupBy(*stream, "_group").applyInPandas(run, schema)

@@ -17,6 +17,7 @@ from stopwise.plans.detect import (
     number_rows,
     score_numbered,
 )
+from stopwise.plans.lineage import checkpointed
 from stopwise.sources.tables import exists
 
 
@@ -121,7 +122,8 @@ def grid_search(
 
     def compute(chosen: Sequence[DetectorConfig]) -> DataFrame:
         scored = grid_scores(features, chosen, use, context)
-        delayed = labels.attach_delays(scored, features, use.scope)
+        # Four metrics read the same rows.
+        delayed = checkpointed(labels.attach_delays(scored, features, use.scope))
         found = metrics.evaluate(
             delayed, delay_threshold=delay_threshold, k=k, by=["config_id"], across=across
         )
