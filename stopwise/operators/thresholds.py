@@ -33,14 +33,20 @@ def _smaller_in_window(scores: np.ndarray, window_size: int) -> np.ndarray:
 
 
 def rolling_ranks(
-    scored: DataFrame, stream: Sequence[str], keys: Sequence[str], sizes: dict[str, int]
+    scored: DataFrame,
+    stream: Sequence[str],
+    keys: Sequence[str],
+    sizes: dict[str, int],
+    along: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``n_smaller``, the number of smaller scores in the row's window.
 
+    Columns in ``along`` are handed through.
+
     A group is a few windows of narrow rows with the window before them; see
     :func:`stopwise.operators.spacetrees.spread_windows` for its largest size.
     """
-    passed = [*stream, *keys, "seq", "anomaly_score"]
+    passed = [*stream, *keys, "seq", "anomaly_score", *along]
     taken = scored.select(*passed)
     spread = spread_windows(taken, sizes)
     schema = T.StructType([*taken.schema, T.StructField("n_smaller", T.LongType())])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from stopwise.config import (
 from stopwise.functions import clock
 from stopwise.operators import spacetrees, thresholds
 from stopwise.operators.ordered import with_position
+from stopwise.plans.lineage import ship_package
 
 _KEYS = ("ts", "stop_id", "direction_id")
 _NOT_FEATURES = {"snapshot_timestamp", "snapshot_minute", "ts", "stop_id", "direction_id", "local_dt"}
@@ -55,6 +57,11 @@ def detector_rows(features: DataFrame, use: DetectorInput, daily_reset: bool = T
     rows = features
     if use.stations is not None:
         rows = rows.filter(F.col("stop_id").cast("string").isin(*[str(s) for s in use.stations]))
+    # Tested on the raw columns: a filter over the filled ones makes the optimizer
+    # try every mix of raw and filled columns.
+    active = [F.col(c) != 0 for c in use.active_columns if c in names]
+    if active:
+        rows = rows.filter(reduce(lambda a, b: a | b, active))
     day = (
         clock.service_day("snapshot_timestamp", use.local_zone, use.reset_hour)
         if daily_reset
@@ -68,9 +75,6 @@ def detector_rows(features: DataFrame, use: DetectorInput, daily_reset: bool = T
         "direction_id",
         *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in names],
     )
-    active = [c for c in use.active_columns if c in names]
-    if active:
-        rows = rows.filter(sum((F.abs(c) for c in active), F.lit(0.0)) != 0)
     return rows
 
 
@@ -90,23 +94,20 @@ def score_numbered(
     explain: Column | None = None,
 ) -> DataFrame:
     """Score numbered rows under every structure of ``cfgs`` (by structure id)."""
+    ship_package(numbered.sparkSession)
     structures = F.explode(F.array(*[F.lit(s) for s in cfgs])).alias("structure_id")
     rows = numbered.select("*", structures)
     stream = [*scope, "structure_id", "day"]
     scored = spacetrees.score_windows(rows, names, stream, _KEYS, cfgs, explain)
+    along = ["changes"] if explain is not None else []
     ranked = thresholds.rolling_ranks(
-        scored, stream, _KEYS, {s: c.window_size for s, c in cfgs.items()}
+        scored, stream, _KEYS, {s: c.window_size for s, c in cfgs.items()}, along
     )
     if explain is None:
         return ranked
-    joined = ranked.join(
-        scored.select(*stream, *_KEYS, spacetrees.top_changes(names).alias("top_features")).filter(
-            "top_features IS NOT NULL"
-        ),
-        [*stream, *_KEYS],
-        "left",
-    )
-    return joined
+    return ranked.withColumn(
+        "top_features", F.when(F.col("changes").isNotNull(), spacetrees.top_changes(names))
+    ).drop("changes")
 
 
 def score_features(

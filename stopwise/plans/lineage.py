@@ -1,10 +1,12 @@
-"""Cutting the plan at tables several branches share."""
+"""Plan helpers that touch the cluster: lineage cuts and the package on the workers."""
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from stopwise.config import FeatureConfig
 
@@ -25,3 +27,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def cut(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
     return checkpointed(df) if cfg.cut_lineage else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    target = os.path.join(tempfile.mkdtemp(prefix="stopwise-"), "stopwise")
+    context.addPyFile(shutil.make_archive(target, "zip", root, "stopwise"))
+    _SHIPPED.add(context.applicationId)
