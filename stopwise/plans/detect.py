@@ -168,7 +168,7 @@ def rows_to_carry(numbered: DataFrame, cfg: DetectorConfig, scope: Sequence[str]
 
 
 def continue_scores(
-    carried: DataFrame,
+    carried: DataFrame | None,
     features: DataFrame,
     cfg: DetectorConfig,
     use: DetectorInput = DetectorInput(),
@@ -180,6 +180,9 @@ def continue_scores(
     """
     names = feature_names(features, use)
     fresh = number_rows(detector_rows(features, use, cfg.daily_reset), use.scope)
+    if carried is None:
+        scored = score_numbered(fresh, names, {cfg.structure_id: cfg}, use.scope)
+        return _public(scored, cfg, use, False), fresh
     by_day = [*use.scope, "day"]
     offsets = carried.groupBy(*by_day).agg(F.max("seq").alias("_offset"))
     shifted = (

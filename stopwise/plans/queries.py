@@ -810,7 +810,8 @@ oracles.VIEWS.update(oracles.detector_views(WIDE, "wide"))
 
 
 def _scored(spark: SparkSession, sf_dir: str, explain=None) -> DataFrame:
-    return detect.score_features(_features(spark, sf_dir), SMALL, _ALL_STOPS, explain)
+    feats = checkpointed(_features(spark, sf_dir))
+    return detect.score_features(feats, SMALL, _ALL_STOPS, explain)
 
 
 @register(
