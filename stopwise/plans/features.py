@@ -48,6 +48,8 @@ class Network:
 
     @classmethod
     def from_stops(cls, stops: DataFrame, cfg: FeatureConfig) -> Network:
+        # A few rows per route, read from the whole feed: made once, used many times.
+        stops = cut(stops, cfg)
         return cls(
             keys=routes.stop_keys(stops, cfg.scope),
             neighbours=routes.route_neighbours(stops, cfg.scope),
@@ -76,14 +78,6 @@ def _require(df: DataFrame, name: str, columns: list[str]) -> None:
         raise ValueError(f"{name} lacks the columns {missing}")
 
 
-def candidate_rows(tu: DataFrame, keys: DataFrame, cfg: FeatureConfig) -> DataFrame:
-    """Nearest forecasts of mapped keys, before repeats are told apart."""
-    updates = nearest.usable_updates(tu, cfg)
-    windows = nearest.future_windows(updates, cfg)
-    found = nearest.nearest_updates(updates, windows, cfg)
-    return found.join(keys, cfg.stop_key, "left_semi")
-
-
 def feature_tables(
     tu: DataFrame,
     vp: DataFrame,
@@ -102,7 +96,8 @@ def feature_tables(
 
     wanted = minutes.select(*cfg.minute_key)
     updates = nearest.usable_updates(tu, cfg)
-    windows = nearest.future_windows(updates, cfg)
+    # One row per minute, used by two reductions of the feed.
+    windows = cut(nearest.future_windows(updates, cfg), cfg)
     found = nearest.nearest_updates(updates, windows, cfg)
     # Joined while both sides are still partitioned by the row key.
     seen = vehicles.latest_vehicles(vp, cfg)
