@@ -18,6 +18,7 @@ from stopwise.operators.ordered import (
     with_value_chunk,
 )
 
+_HOUR = 3600
 _DAY = 86400
 _ROW_ORDER = ["ts", "stop_id", "direction_id"]
 
@@ -120,7 +121,9 @@ def label_runs(
     """
     part = [*by] if across == "network" else [*by, "stop_id", "direction_id"]
     order = _ROW_ORDER if across == "network" else ["ts"]
-    rows = labelled.withColumn("_chunk", F.floor(F.col("ts") / _DAY))
+    # All stations of an hour, or one station's day.
+    length = _HOUR if across == "network" else _DAY
+    rows = labelled.withColumn("_chunk", F.floor(F.col("ts") / length))
     rows = with_previous(rows, part, "_chunk", order, F.col("label"), "_before")
     opens = ((F.col("label") == 1) & (F.coalesce("_before", F.lit(0)) == 0)).cast("int")
     rows = with_running_sum(

@@ -186,20 +186,22 @@ def replay_batches(
     start: int | None = None,
     end: int | None = None,
     order: Sequence[str] = ("snapshot_timestamp",),
-    chunk_secs: int = 3600,
 ) -> DataFrame:
     """Add ``batch_id``: rows in time order, ``batch_size`` rows to a batch.
 
     ``order`` starts with the time and should go on with columns that settle ties.
-    Rows are numbered per time chunk, and the chunks' sizes give the offsets.
+    Spark samples the whole order to split it evenly, so one crowded second is
+    split as well. The split is written out, which fixes it; its parts are
+    numbered on their own and their sizes give the offsets.
     """
     from stopwise.operators.ordered import with_position
+    from stopwise.plans.lineage import checkpointed
 
-    time = order[0]
-    chosen = in_range(df, start, end, time).withColumn(
-        "_chunk", F.floor(F.col(time) / chunk_secs)
+    chosen = in_range(df, start, end, order[0])
+    parts = checkpointed(chosen.repartitionByRange(*order)).withColumn(
+        "_chunk", F.spark_partition_id()
     )
-    numbered = with_position(chosen, [], "_chunk", list(order), "position")
+    numbered = with_position(parts, [], "_chunk", list(order), "position")
     return numbered.withColumn(
         "batch_id", F.floor((F.col("position") - 1) / batch_size)
     ).drop("_chunk")

@@ -181,3 +181,12 @@ def test_replay_numbers_batches_in_time_order(spark):
     assert [r.position for r in rows] == list(range(1, 2501))
     times = [r.snapshot_timestamp for r in rows]
     assert times == sorted(times) and rows[-1].batch_id == 6
+
+
+def test_replay_splits_one_crowded_second(spark):
+    df = spark.range(20_000).select(
+        F.when(F.col("id") < 15_000, 100).otherwise(F.col("id")).cast("long").alias("snapshot_timestamp"), "id"
+    )
+    batches = tables.replay_batches(df, 1000, order=("snapshot_timestamp", "id"))
+    assert batches.groupBy("batch_id").count().filter("count <> 1000").count() == 0
+    assert batches.filter("position <> id + 1").count() == 0
