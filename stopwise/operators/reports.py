@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,9 +104,7 @@ def histogram(
     """
     if low is None or high is None:
         ends = df.agg(F.min(value).alias("low"), F.max(value).alias("high"))
-        ranged = df.select(value, F.struct("*").alias("_row")).drop("_row").withColumn(
-            "_ends", ends.select(F.struct("low", "high")).scalar()
-        )
+        ranged = df.withColumn("_ends", ends.select(F.struct("low", "high")).scalar())
         a, b = F.col("_ends.low"), F.col("_ends.high")
     else:
         ranged, a, b = df, F.lit(low), F.lit(high)
@@ -134,7 +131,7 @@ _QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles per column."""
-    long = _long(df, columns).withColumn("number", F.col("number"))
+    long = _long(df, columns)
     stats = long.groupBy("column").agg(
         F.count("number").alias("count"),
         F.avg("number").alias("mean"),
@@ -251,6 +248,3 @@ def non_null_shares(df: DataFrame, columns: Sequence[str], minimum: float = 0.95
         "passes", (F.col("non_null_share") >= minimum).cast("int")
     )
 
-
-def stack(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -418,7 +418,6 @@ def minute_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- parts of the features ------------------------------------------------------------------
 
-_CFG = FeatureConfig()
 _PLAIN = FeatureConfig(cut_lineage=False)
 
 

@@ -37,7 +37,14 @@ def write_by_date(
     )
 
 
-def read_dated(spark: SparkSession, path: str, start=None, end=None, zone=clock.LONDON, column="snapshot_timestamp") -> DataFrame:
+def read_dated(
+    spark: SparkSession,
+    path: str,
+    start: int | None = None,
+    end: int | None = None,
+    zone: str = clock.LONDON,
+    column: str = "snapshot_timestamp",
+) -> DataFrame:
     """Read a table of :func:`write_by_date`, epoch range inclusive, other dates unread."""
     df = spark.read.parquet(path)
     return in_range(df, start, end, column, zone)
