@@ -7,6 +7,7 @@ what is offending. Features are the words of a sentence and their beginnings, so
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from itertools import pairwise
 
@@ -94,29 +95,29 @@ def learn(texts: list[str], toxic: np.ndarray, cfg: ToxicityConfig) -> ToxicityM
     texts, toxic = list(texts), np.asarray(toxic, float)
     if not texts or toxic.min() == toxic.max():
         return ToxicityModel({}, -cfg.bias if texts and toxic.max() else cfg.bias)
-    known: dict[bytes, list[bytes]] = {}
     bags = []
-    for text in texts:
+    counts = (Counter(), Counter())  # of documents, by label
+    for text, label in zip(texts, toxic, strict=True):
         spans, plain = sentences_of(text.encode())
-        bags.append([set(plain[a:b].split()) for a, b in spans])
-    counts: dict[bytes, np.ndarray] = {}
-    for bag, label in zip(bags, toxic, strict=True):
-        words = set().union(*bag)
-        known |= {w: features(w) for w in words if w not in known}
-        for f in {f for w in words for f in known[w]}:
-            counts.setdefault(f, np.zeros(2))[int(label)] += 1
+        bags.append([tuple(set(plain[a:b].split())) for a, b in spans])
+        counts[int(label)].update({f for w in set().union(*bags[-1]) for f in features(w)})
     # The features whose document counts tell most about the label.
-    names = sorted(f for f, c in counts.items() if c.sum() >= cfg.least_docs)
-    table = np.array([counts[f] for f in names]).reshape(-1, 2)
+    names = sorted(f for f in counts[0].keys() | counts[1].keys() if counts[0][f] + counts[1][f] >= cfg.least_docs)
+    table = np.array([(counts[0][f], counts[1][f]) for f in names], float).reshape(-1, 2)
+    del counts
     rates = (table + 0.5) / (np.array([(toxic == 0).sum(), (toxic == 1).sum()]) + 1)
     telling = np.abs(np.log(rates[:, 1] / rates[:, 0])) * np.sqrt(table.sum(1))
     chosen = sorted(i for i in np.argsort(-telling, kind="stable")[: cfg.features] if telling[i] >= cfg.telling)
     place = {names[i]: k for k, i in enumerate(chosen)}
+    known: dict[bytes, tuple[int, ...]] = {}
 
     rows, cols, owner = [], [], []
     for doc, bag in enumerate(bags):
         for sentence in bag:
-            got = sorted({place[f] for w in sentence for f in known[w] if f in place})
+            for w in sentence:
+                if w not in known:
+                    known[w] = tuple(place[f] for f in features(w) if f in place)
+            got = sorted({k for w in sentence for k in known[w]})
             rows += [len(owner)] * len(got)
             cols += got
             owner.append(doc)
