@@ -156,7 +156,8 @@ def dedup_lines(
     lost = written(lost.withColumnRenamed("lost", gone), folder, "lost")
     remove(spark, f"{folder}/hashes", f"{folder}/common")
 
-    out = source.join(lost, uid, "left").withColumn(parts, lines_of(F.col("text")))
+    # Always a merge join: a broadcast list of these would grow with the corpus.
+    out = source.join(lost.hint("merge"), uid, "left").withColumn(parts, lines_of(F.col("text")))
     stays = lambda line: (F.char_length(line_key(line)) < least) | ~F.array_contains(
         F.col(gone), F.struct(*hash_pair(line_key(line)))
     )
