@@ -156,20 +156,12 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 3, max_bits: int = 3, shared: int = 3, bucket: int = BUCKET, folder: str | None = None
-) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``: one row for each row of ``docs``.
-
-    A component is what links of ``max_bits`` or fewer differing bits reach; its id is the smallest ``doc_id`` in it
-    (rows with a null id take part, null only if all of them are null). Null, empty and blank texts have fingerprint
-    zero and are linked like any other. Repeated rows stay repeated. Other columns are ignored, whatever their names.
-    """
+def _labelled(docs: DataFrame, words: int, max_bits: int, shared: int, bucket: int, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``prints(row, doc_id, fp)`` of all rows, and ``named(fp, root, component_id)`` of all fingerprints."""
     require(docs, "doc_id", "text")
-    spark = docs.sparkSession
-    folder = folder or shared_root(spark)
     with_workers(docs)
-    prints = written(docs.select("doc_id", fingerprints(F.col("text"), words).alias("fp")), folder, "prints")
+    prints = docs.select(_row(), "doc_id", fingerprints(F.col("text"), words).alias("fp"))
+    prints = written(prints, folder, "prints")
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), folder, "classes")
     edges = written(links(classes.select("fp"), max_bits, shared, bucket), folder, "links")
     roots = components(edges, folder)
@@ -177,27 +169,50 @@ def near_duplicates(
     # Only fingerprints with a link need the smallest id of others.
     linked = roots.select(F.col("root").alias("fp")).union(roots.select("node")).distinct()
     least = rooted.join(linked, "fp", "left_semi").groupBy("root").agg(F.min("least").alias("id"))
-    named = rooted.join(least, "root", "left").select("fp", F.coalesce("id", "least").alias("component_id"))
-    return prints.join(written(named, folder, "named"), "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    named = rooted.join(least, "root", "left").select("fp", "root", F.coalesce("id", "least").alias("component_id"))
+    return prints, written(named, folder, "named")
+
+
+def _row() -> Column:
+    """Tells rows apart by id and text."""
+    return F.xxhash64("doc_id", "text").alias("row")
+
 
+def near_duplicates(
+    docs: DataFrame, words: int = 3, max_bits: int = 3, shared: int = 3, bucket: int = BUCKET, folder: str | None = None
+) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``: one row for each row of ``docs``.
 
-def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3, shared: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of their component, with all their columns.
+    A component is what links of ``max_bits`` or fewer differing bits reach; its id is the smallest ``doc_id`` in it
+    (rows with a null id take part, null only if all of them are null). Null, empty and blank texts have fingerprint
+    zero and are linked like any other. Repeated rows stay repeated. Other columns are ignored, whatever their names.
+    """
+    prints, named = _labelled(docs, words, max_bits, shared, bucket, folder or shared_root(docs.sparkSession))
+    return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(
+    docs: DataFrame, words: int = 3, max_bits: int = 3, shared: int = 3, bucket: int = BUCKET, folder: str | None = None
+) -> DataFrame:
+    """One row of each component of ``docs``, that with the smallest ``doc_id``, with all its columns.
 
-    Of rows that repeat that id one stays, the one with the smallest text. Components without any id keep one row.
+    Rows without id stay only in components without any, and there one does. Rows that repeat an id with other texts are
+    told apart; of rows equal in id and text one stays.
     """
-    require(docs, "doc_id", "text")
-    found = near_duplicates(docs, words, max_bits, shared)
-    least = fresh(docs, "__component")
-    first = found.select(F.col("component_id").alias(least)).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first[least]), "left_semi")
-    return _first_row(kept)
-
-
-def _first_row(docs: DataFrame) -> DataFrame:
-    """One row for each ``doc_id``, reduced before the shuffle: that with the smallest text."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    best = docs.groupBy(F.col("doc_id").alias("__id")).agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("__row"))
-    return best.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
+    folder = folder or shared_root(docs.sparkSession)
+    prints, named = _labelled(docs, words, max_bits, shared, bucket, folder)
+    rows = prints.join(named.select("fp", "root"), "fp").select("row", "doc_id", "root")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    several = rows.groupBy("root").agg(F.min_by("row", order).alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = written(several.drop("n"), folder, "several")
+    grouped = rows.join(several, "root")
+    gone = written(grouped.where("row <> stays").select("row").distinct(), folder, "gone")
+    repeated = grouped.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() > 0
+    mark = fresh(docs, "__row")
+    kept = docs.withColumn(mark, _row())
+    kept = kept.join(gone.withColumnRenamed("row", mark), mark, "left_anti")
+    if repeated:
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        first = kept.groupBy(mark).agg(F.first(whole).alias("__whole"))
+        return first.select(*[F.col("__whole").getField(c).alias(c) for c in docs.columns])
+    return kept.drop(mark)
