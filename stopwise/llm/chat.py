@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.llm.common import require, with_workers
+from stopwise.llm.common import claim, require, with_workers
 
 #: Control strings and their reserved ids, above the vocabulary's. The template: a user's turn between ``[INST]`` and
 #: ``[/INST]``, a system's between ``<<SYS>>`` and ``<</SYS>>``, an assistant's between ``<s>`` and ``</s>``; any other
@@ -54,9 +54,10 @@ class Codec:
 
     @classmethod
     def get(cls, path: str) -> Codec:
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        mine = claim(cls)
+        if path not in mine:
+            mine[path] = cls(path)
+        return mine[path]
 
     def encode(self, text: str) -> list[int]:
         return self.model.encode_ordinary(text)

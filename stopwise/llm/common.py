@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stopwise.plans.lineage import ship_package
 
@@ -72,34 +69,16 @@ def with_workers(df: DataFrame) -> DataFrame:
     return df
 
 
-def chunks(text: bytes, size: int) -> Iterator[bytes]:
-    """Cut at white space into parts of about ``size`` bytes, so that very long texts need bounded memory."""
-    start, end = 0, len(text)
-    while start < end:
-        stop = start + size
-        if stop >= end:
-            yield text[start:]
-            return
-        while stop < end and text[stop] not in b" \t\n\x0b\x0c\r":
-            stop += 1
-        yield text[start:stop]
-        start = stop
+_HOLDER: list[type] = []
 
 
-@contextlib.contextmanager
-def shuffle_partitions(spark: SparkSession, count: int):
-    """Run the actions inside with ``count`` shuffle partitions; used for tables of known small size."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(count))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def claim(owner: type) -> dict:
+    """The models and caches (``owner._open``) of an operator on this worker.
 
-
-LONG, DOUBLE, STRING, INT, BOOL = T.LongType(), T.DoubleType(), T.StringType(), T.IntegerType(), T.BooleanType()
-
-
-def schema(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+    Workers are used again by later stages, so an operator that begins frees what another one has left.
+    """
+    if not _HOLDER or _HOLDER[0] is not owner:
+        for other in _HOLDER:
+            other._open.clear()
+        _HOLDER[:] = [owner]
+    return owner._open

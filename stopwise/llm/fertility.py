@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopwise.llm.common import SPACE, require, shared_root, with_workers, written
+from stopwise.llm.common import SPACE, claim, require, shared_root, with_workers, written
 
 #: Characters that count as symbols. Fixed value of the rule.
 SYMBOLS = "#*$%&|<>"
 SPAN = 8
 #: Words with ids that a worker keeps, and the longest of them; beyond that it starts anew.
-CACHE, CACHED_BYTES = 500_000, 48
+CACHE, CACHED_BYTES = 250_000, 48
 #: Words of a text encoded at a time.
 PART = 1 << 20
 
@@ -70,9 +70,10 @@ class Vocabulary:
 
     @classmethod
     def get(cls, path: str) -> Vocabulary:
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        mine = claim(cls)
+        if path not in mine:
+            mine[path] = cls(path)
+        return mine[path]
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         """Ids of the words, each encoded on its own with a word-start mark."""

@@ -19,15 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopwise.llm.common import remove, require, shared_root, with_workers, written
+from stopwise.llm.common import claim, require, shared_root, with_workers, written
 
 END = 1
 #: Pieces that one task packs.
 GROUP = 1 << 14
 #: Bins at least this full are closed in every round.
 CLOSED = 0.995
-CACHE, CACHED_BYTES = 400_000, 48
+CACHE, CACHED_BYTES = 250_000, 48
 PART = 1 << 18
+#: Stands between words that are encoded in one call; a character of private use, so it is a token run of its own.
+BETWEEN = "\ue000"
 
 
 class WordTokens:
@@ -43,19 +45,33 @@ class WordTokens:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        self.mark = self.model.encode(BETWEEN, add_special_tokens=False).ids
         self.known: dict[bytes, bytes] = {}
 
     @classmethod
     def get(cls, path: str) -> WordTokens:
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        mine = claim(cls)
+        if path not in mine:
+            mine[path] = cls(path)
+        return mine[path]
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the text."""
         words = text.encode().split()
         return b"".join(self._part(words[at : at + PART]) for at in range(0, len(words), PART))
 
+    def _encode_all(self, words: list[str]) -> list[bytes]:
+        """Ids of each word from one call, cut where the mark between them shows."""
+        if len(words) < 2 or any(BETWEEN in w for w in words):
+            return [np.array(self.model.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+        ids = np.array(self.model.encode(f" {BETWEEN} ".join(words), add_special_tokens=False).ids, "<u4")
+        mark, last = self.mark, len(ids) - len(self.mark) + 1
+        cuts = np.flatnonzero(np.logical_and.reduce([ids[i : last + i] == m for i, m in enumerate(mark)]))
+        if len(cuts) != len(words) - 1:
+            return [np.array(self.model.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+        starts, ends, raw = [0, *(4 * (cuts + len(mark))).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)], ids.tobytes()
+        return [raw[a:b] for a, b in zip(starts, ends, strict=True)]
+
     def _part(self, words: list[bytes]) -> bytes:
         own = set(words)
         new = [w for w in own if w not in self.known]
@@ -63,8 +79,8 @@ class WordTokens:
             self.known.clear()
             new = list(own)
         extra: dict[bytes, bytes] = {}
-        for word, got in zip(new, self.model.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            (self.known if len(word) <= CACHED_BYTES else extra)[word] = np.array(got.ids, "<u4").tobytes()
+        for word, ids in zip(new, self._encode_all([w.decode() for w in new]), strict=True):
+            (self.known if len(word) <= CACHED_BYTES else extra)[word] = ids
         known = self.known if not extra else {w: extra.get(w) or self.known.get(w, b"") for w in own}
         return b"".join(map(known.__getitem__, words))
 

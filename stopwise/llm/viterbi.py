@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopwise.llm.common import fresh, require, with_workers
+from stopwise.llm.common import claim, fresh, require, with_workers
 
 MARK = "▁"
 #: Added to the least score for characters that are no piece. Fixed value of the model's library.
@@ -67,9 +67,10 @@ class Pieces:
 
     @classmethod
     def get(cls, path: str) -> Pieces:
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        mine = claim(cls)
+        if path not in mine:
+            mine[path] = cls(path)
+        return mine[path]
 
     # ---- encoding
 
