@@ -109,5 +109,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _KEY = r"translate(trim(line, e' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
-ORACLES: dict[str, str] = {}
+#: 160 bits as 32 letters: five hex digits are four letters.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(h, {5 * group + 1}, 5))::INT >> {shift} & 31) + 1, 1)"
+    for group in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": f"""
+        WITH dealt AS (
+          SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+        keyed AS (SELECT *, {_KEY} AS key FROM dealt),
+        common AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+          sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+        FROM keyed LEFT JOIN common c ON keyed.key = c.key GROUP BY doc_id""",
+    "op10_warc": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS b, sha1(coalesce(html, '')) AS h FROM pages),
+        k AS (SELECT h, max(page_id) AS keep FROM p GROUP BY h)
+        SELECT page_id, CAST(strlen(b) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+          CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id = keep THEN NULL ELSE keep END AS refers_to
+        FROM p JOIN k USING (h)""",
+}
