@@ -13,7 +13,7 @@ from stopwise.operators import labels, metrics, routes
 from stopwise.plans.detect import DetectorInput, run_summary, score_features
 from stopwise.plans.features import Network, feature_tables
 from stopwise.plans.tune import best_config, grid_search
-from stopwise.sources.tables import in_range, load_feeds, usable_minutes, write_by_date
+from stopwise.sources.tables import in_range, load_feeds, replace_range, usable_minutes
 
 UTC = "UTC"
 
@@ -29,16 +29,18 @@ def generate_features(
     """Features of every minute both feeds have a file for, ends included.
 
     Reads the tables and the manifest :func:`ingest_feeds` writes; the routes come
-    from all trip updates, the features from those in the range.
+    from all trip updates, the features from those in the range. Stored features
+    outside the range stay. A row is looked for in the folders of its minute's date
+    and of the days before and after.
     """
     feeds = {f: spark.read.parquet(f"{processed_root}/{f}") for f in ("trip_updates", "vehicle_positions")}
     manifest = spark.read.parquet(f"{processed_root}/manifest")
     minutes = in_range(usable_minutes(manifest, cfg.scope), start, end, "snapshot_minute")
     stops = routes.route_stops(feeds["trip_updates"], cfg.scope)
     chosen = {
-        name: in_range(df.drop("year", "month", "day"), start, end, "snapshot_minute").join(
-            minutes, cfg.minute_key, "left_semi"
-        )
+        name: in_range(df, start, end, "snapshot_minute", slack_days=1)
+        .drop("year", "month", "day")
+        .join(minutes, cfg.minute_key, "left_semi")
         for name, df in feeds.items()
     }
     result = feature_tables(
@@ -48,7 +50,7 @@ def generate_features(
         Network.from_stops(stops, cfg),
         cfg,
     )
-    write_by_date(result.features, out_path, zone=UTC, mode="overwrite")
+    replace_range(result.features, out_path, start, end, zone=UTC)
     return spark.read.parquet(out_path)
 
 
@@ -62,10 +64,13 @@ def detect_anomalies(
     use: DetectorInput = DetectorInput(),
     explain: Column | None = None,
 ) -> DataFrame:
-    """Score ``start <= minute < end``, write the scores by UTC date, return the summary."""
+    """Score ``start <= minute < end``, write the scores by UTC date, return the summary.
+
+    Stored scores outside the range stay.
+    """
     features = in_range(spark.read.parquet(features_path), start, end - 1, zone=UTC)
     scored = score_features(features.drop("year", "month", "day"), cfg, use, explain)
-    write_by_date(scored, out_path, epoch="ts", zone=UTC, mode="overwrite")
+    replace_range(scored, out_path, start, end - 1, epoch="ts", zone=UTC)
     written = in_range(spark.read.parquet(out_path), start, end - 1, "ts", UTC)
     return run_summary(written)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import asdict
 from itertools import product
 
 from pyspark.sql import DataFrame
@@ -87,6 +88,14 @@ def grid_scores(
     )
 
 
+def _fingerprint(features: DataFrame) -> str:
+    """Number and hash of the rows, in any order; repeated rows count."""
+    columns = sorted(features.columns)
+    row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])
+    n, total = features.agg(F.count("*"), F.sum(row.cast("decimal(38,0)"))).first()
+    return f"{n}:{total}"
+
+
 def grid_search(
     features: DataFrame,
     grid: Mapping[str, object],
@@ -103,21 +112,26 @@ def grid_search(
     """One row of metrics per setting, over ``start <= minute < end``.
 
     With ``results_path`` finished settings are kept there, under an id that also
-    covers the time range and ``data_version``, and are not computed again.
+    covers the time range, ``use``, the columns, ``data_version`` and the number and
+    a hash of the rows, and are not computed again.
     """
     spark = features.sparkSession
-    context = {"start": start, "end": end, "threshold": delay_threshold, "k": k,
-               "across": across, "data": data_version}
     if start is not None:
         features = features.filter(F.col("snapshot_timestamp") >= start)
     if end is not None:
         features = features.filter(F.col("snapshot_timestamp") < end)
+    context = {"start": start, "end": end, "threshold": delay_threshold, "k": k,
+               "across": across, "data": data_version, "use": repr(asdict(use)),
+               "columns": repr(sorted(features.dtypes))}
+    if results_path is not None:
+        context["rows"] = _fingerprint(features)
     configs = expand_grid(grid, limit)
     wanted = [c.config_id(**context) for c in configs]
     todo = configs
     if results_path is not None and exists(spark, results_path):
         known = spark.read.parquet(results_path)
-        done = {r[0] for r in known.select("config_id").distinct().collect()}
+        mine = known.filter(F.col("config_id").cast("string").isin(*wanted))
+        done = {r[0] for r in mine.select("config_id").distinct().collect()}
         todo = [c for c, i in zip(configs, wanted) if i not in done]
 
     def compute(chosen: Sequence[DetectorConfig]) -> DataFrame:
@@ -141,7 +155,8 @@ def grid_search(
     if results_path is None:
         return compute(configs)
     if todo:
-        compute(todo).write.mode("append").partitionBy("config_id").parquet(results_path)
+        # One row per setting. A plain column keeps the type of an id of digits only.
+        compute(todo).coalesce(1).write.mode("append").parquet(results_path)
     return spark.read.parquet(results_path).filter(F.col("config_id").isin(*wanted))
 
 

@@ -21,7 +21,7 @@ _LOOSE_NAMES = {
 }
 
 
-def _matches(spark: SparkSession, pattern: str) -> bool:
+def matches(spark: SparkSession, pattern: str) -> bool:
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
@@ -39,7 +39,14 @@ def find_feed_files(spark: SparkSession, raw_root: str, feed: str) -> str | None
         f"{raw_root}/*{feed}*.json",
         f"{raw_root}/{_LOOSE_NAMES[feed]}",
     )
-    return next((c for c in candidates if _matches(spark, c)), None)
+    return next((c for c in candidates if matches(spark, c)), None)
+
+
+def _bound(spark: SparkSession, text: str) -> Column:
+    parsed = clock.parse_time(F.lit(text))
+    if spark.range(1).select(parsed.isNull()).first()[0]:
+        raise ValueError(f"Invalid datetime format: {text}")
+    return parsed
 
 
 def read_documents(
@@ -51,6 +58,7 @@ def read_documents(
 ) -> DataFrame:
     """One row per raw file with its name; ``start`` and ``end`` select by name, inclusive.
 
+    A bound that no day-first format matches raises ``ValueError``.
     Files are selected before their bodies are read: the condition only uses file
     metadata, which Spark applies when it lists the files.
     """
@@ -64,9 +72,9 @@ def read_documents(
     )
     stamp = clock.file_time(F.col("file_name"))
     if start is not None:
-        docs = docs.filter(stamp >= clock.parse_time(F.lit(start)))
+        docs = docs.filter(stamp >= _bound(spark, start))
     if end is not None:
-        docs = docs.filter(stamp <= clock.parse_time(F.lit(end)))
+        docs = docs.filter(stamp <= _bound(spark, end))
     return with_snapshot_minute(docs)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.functions import clock
+from stopwise.plans.lineage import checkpointed
 from stopwise.schemas import FEEDS, TABLE_SCHEMAS
 from stopwise.sources import documents
 
@@ -37,6 +38,35 @@ def write_by_date(
     )
 
 
+def replace_range(
+    df: DataFrame,
+    path: str,
+    start: int | None,
+    end: int | None,
+    epoch: str = "snapshot_timestamp",
+    zone: str = clock.LONDON,
+) -> None:
+    """Write ``df``, the rows of ``start <= epoch <= end``, and leave the others stored at ``path``.
+
+    Only the dates the range begins or ends in hold other rows. They are copied
+    before the dates are replaced.
+    """
+    spark = df.sparkSession
+    edges = [b for b in (start, end) if b is not None]
+    if edges and documents.matches(spark, f"{path}/year=*"):
+        folder = F.make_date(*[F.col(c).cast("int") for c in _DATE])
+        days = [F.to_date(clock.local_time(F.lit(int(b)), zone)) for b in edges]
+        outside = F.lit(False)
+        if start is not None:
+            outside = outside | (F.col(epoch) < F.lit(int(start)))
+        if end is not None:
+            outside = outside | (F.col(epoch) > F.lit(int(end)))
+        stored = spark.read.option("mergeSchema", True).parquet(path)
+        others = stored.filter(folder.isin(*days) & outside).drop(*_DATE)
+        df = df.unionByName(checkpointed(others), allowMissingColumns=True)
+    write_by_date(df, path, epoch, zone, mode="overwrite")
+
+
 def read_dated(
     spark: SparkSession,
     path: str,
@@ -56,8 +86,13 @@ def in_range(
     end: int | None,
     column: str = "snapshot_timestamp",
     zone: str = clock.LONDON,
+    slack_days: int = 0,
 ) -> DataFrame:
-    """Rows with ``start <= column <= end``; also limits the date folders read."""
+    """Rows with ``start <= column <= end``; also limits the date folders read.
+
+    ``slack_days`` widens the folders read, for a ``column`` other than the one the
+    folders follow.
+    """
     dated = set(_DATE) <= set(df.columns)
     folder = F.make_date(*[F.col(c).cast("int") for c in _DATE]) if dated else None
     for bound, low in ((start, True), (end, False)):
@@ -67,13 +102,18 @@ def in_range(
         df = df.filter(F.col(column) >= limit if low else F.col(column) <= limit)
         if dated:
             day = F.to_date(clock.local_time(limit, zone))
-            df = df.filter(folder >= day if low else folder <= day)
+            near = folder >= F.date_sub(day, slack_days) if low else folder <= F.date_add(day, slack_days)
+            df = df.filter(near)
     return df
 
 
 def at_minute(df: DataFrame, minute: int, zone: str = clock.LONDON) -> DataFrame:
-    """The rows of one snapshot minute."""
-    return in_range(df, minute, minute, "snapshot_minute", zone)
+    """The rows of one snapshot minute.
+
+    The minute is the file name's, the folders follow the header, so those of the
+    days before and after are read as well.
+    """
+    return in_range(df, minute, minute, "snapshot_minute", zone, slack_days=1)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -162,9 +202,12 @@ def ingest_feeds(
 ) -> dict[str, int]:
     """Flatten the raw files of each feed into dated tables, a manifest and rejects.
 
-    Returns the number of rejected records per feed.
+    Returns the number of rejected records of this run per feed. A file that was read
+    before, by its name and ``scope``, takes the place of what it left then; a folder
+    keeps to one set of scope columns. The manifest is written first, so that a run
+    that broke off is found there and repeated safely.
     """
-    lost = {}
+    lost, key = {}, ["file_name", *(scope or {})]
     for feed in feeds:
         glob = documents.find_feed_files(spark, raw_root, feed)
         if glob is None:
@@ -172,21 +215,71 @@ def ingest_feeds(
         docs = documents.read_documents(spark, glob, feed, start, end)
         for name, value in (scope or {}).items():
             docs = docs.withColumn(name, F.lit(value))
-        write_by_date(documents.flatten(docs, feed), f"{out_root}/{feed}")
-        seen = documents.manifest(docs, feed)
-        seen.write.mode("append").partitionBy("feed").parquet(f"{out_root}/manifest")
-        written = spark.read.parquet(f"{out_root}/manifest").filter(F.col("feed") == feed)
-        bad = written.agg(
-            F.coalesce(F.sum(F.col("n_rejected") + F.col("unreadable")), F.lit(0))
-        ).first()[0]
-        if bad:
-            documents.rejected(docs, feed).write.mode("append").parquet(
-                f"{out_root}/rejected/{feed}"
-            )
-        lost[feed] = bad
+        seen = checkpointed(documents.manifest(docs, feed))
+        again = _replace_seen(seen, f"{out_root}/manifest", feed, key)
+        rows, path = documents.flatten(docs, feed), f"{out_root}/{feed}"
+        if again:
+            _replace_files(rows, path, seen.select(*key), key)
+        else:
+            write_by_date(rows, path)
+        lost[feed] = seen.agg(F.coalesce(F.sum(F.col("n_rejected") + F.col("unreadable")), F.lit(0))).first()[0]
+        _replace_rejects(documents.rejected(docs, feed), f"{out_root}/rejected/{feed}", seen.select(*key), key, again, lost[feed])
     return lost
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    some = any(documents.matches(spark, f"{path}/{p}") for p in ("*=*", "part-*"))
+    return spark.read.option("mergeSchema", True).parquet(path) if some else None
+
+
+def _replace_seen(seen: DataFrame, path: str, feed: str, key: Sequence[str]) -> bool:
+    """Put the documents of a run into the manifest; whether some were there already."""
+    stored = _stored(seen.sparkSession, path)
+    known = stored.filter(F.col("feed") == feed) if stored is not None else None
+    names = seen.select(*key)
+    again = known is not None and set(key) <= set(known.columns) and not known.join(names, list(key), "left_semi").isEmpty()
+    writer = seen.write.mode("append")
+    if again:
+        others = checkpointed(known.join(names, list(key), "left_anti"))
+        both = others.unionByName(seen, allowMissingColumns=True)
+        writer = both.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("feed").parquet(path)
+    return again
+
+
+def _replace_files(rows: DataFrame, path: str, names: DataFrame, key: Sequence[str]) -> None:
+    """Write ``rows`` in place of all stored rows of the files ``names``.
+
+    Only the dates that hold rows of these files, before or now, are written again.
+    """
+    spark = rows.sparkSession
+    stored = _stored(spark, path)
+    if stored is None or not set(key) <= set(stored.columns):
+        write_by_date(rows, path)
+        return
+    dates = rows.select(*[c.cast("int").alias(n) for n, c in clock.partition_columns("snapshot_timestamp", clock.LONDON).items()])
+    before = stored.join(names, list(key), "left_semi").select(*[F.col(c).cast("int").alias(c) for c in _DATE])
+    touched = checkpointed(dates.unionByName(before).distinct())
+    others = stored.withColumns({c: F.col(c).cast("int") for c in _DATE}).join(touched, _DATE, "left_semi")
+    others = checkpointed(others.join(names, list(key), "left_anti").drop(*_DATE))
+    write_by_date(rows.unionByName(others, allowMissingColumns=True), path, mode="overwrite")
+    left = dates.unionByName(
+        others.select(*[c.cast("int").alias(n) for n, c in clock.partition_columns("snapshot_timestamp", clock.LONDON).items()])
+    )
+    for r in touched.join(left, _DATE, "left_anti").toLocalIterator():  # dates, at most one a day
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year={r.year:04d}/month={r.month:02d}/day={r.day:02d}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _replace_rejects(bad: DataFrame, path: str, names: DataFrame, key: Sequence[str], again: bool, count: int) -> None:
+    stored = _stored(bad.sparkSession, path) if again else None
+    if stored is not None and set(key) <= set(stored.columns):
+        others = checkpointed(stored.join(names, list(key), "left_anti"))
+        others.unionByName(bad, allowMissingColumns=True).write.mode("overwrite").parquet(path)
+    elif count:
+        bad.write.mode("append").parquet(path)
+
+
 def replay_batches(
     df: DataFrame,
     batch_size: int,
@@ -202,7 +295,6 @@ def replay_batches(
     numbered on their own and their sizes give the offsets.
     """
     from stopwise.operators.ordered import with_position
-    from stopwise.plans.lineage import checkpointed
 
     chosen = in_range(df, start, end, order[0])
     parts = checkpointed(chosen.repartitionByRange(*order)).withColumn(

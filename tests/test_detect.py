@@ -157,6 +157,24 @@ def test_grid_scores_once_per_structure_and_keeps_results(spark, tmp_path):
     assert best.lead_time_roc_auc == max(r.lead_time_roc_auc for r in first)
 
 
+def test_kept_results_belong_to_their_rows_and_columns(spark, tmp_path):
+    from dataclasses import replace
+
+    feats = spark.createDataFrame([(*r[:3], r[3] * 200, *r[4:]) for r in feature_rows(40)], SCHEMA)
+    some = sorted(r[0] for r in feats.select("stop_id").distinct().collect())[:1]
+    grid, path = {"n_trees": [3], "height": [3], "window_size": [10], "seed": 3}, f"{tmp_path}/results"
+    one_stop = replace(USE, stations=some)
+
+    def run(rows, use, kept=path):
+        return tune.grid_search(rows, grid, use, results_path=kept).drop("config_id").collect()
+
+    run(feats, USE)
+    assert run(feats, one_stop) == run(feats, one_stop, None)
+    less = feats.where("snapshot_timestamp % 120 = 0")
+    assert run(less, USE) == run(less, USE, None)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_grid_without_rows_gives_zero_metrics(spark):
     feats = spark.createDataFrame([], SCHEMA)
     rows = tune.grid_search(feats, {"window_size": [10]}, USE).collect()

@@ -115,6 +115,63 @@ def test_ingest_finds_filters_and_writes(spark, raw):
     assert tables.read_dated(spark, f"{out}/trip_updates", 1741279796, 1741279800).count() == 1
 
 
+def test_ingest_again_changes_nothing_and_counts_its_own_rejects(spark, raw):
+    root, out = f"{raw}/raw", f"{raw}/out"
+    write(raw / "raw/trip_updates", "2025_06_03_16_52_00.json",
+          trip_document(1741279976, [{"stop_sequence": 1}]))
+    tables_of = [f"{out}/trip_updates", f"{out}/vehicle_positions", f"{out}/manifest", f"{out}/rejected/trip_updates"]
+    lost = tables.ingest_feeds(spark, root, out)
+    first = [sorted(map(str, spark.read.parquet(t).collect())) for t in tables_of]
+    assert lost["trip_updates"] > 0 and all(first)
+    assert tables.ingest_feeds(spark, root, out) == lost
+    assert [sorted(map(str, spark.read.parquet(t).collect())) for t in tables_of] == first
+
+
+def test_ingest_replaces_a_file_that_moved_to_another_date(spark, raw):
+    root, out, name = f"{raw}/raw", f"{raw}/out", "2025_06_03_16_50_00.json"
+    tables.ingest_feeds(spark, root, out, ["trip_updates"])
+    before = spark.read.parquet(f"{out}/trip_updates")
+    others = sorted(map(str, before.filter(F.col("file_name") != name).collect()))
+    stops = [{"stop_sequence": 1, "stop_id": "A", "arrival": {"delay": 5, "time": 1741290000}}]
+    write(raw / "raw/trip_updates", name, trip_document(1741279856 + 86400, stops))
+    tables.ingest_feeds(spark, root, out, ["trip_updates"])
+    after = spark.read.parquet(f"{out}/trip_updates")
+    assert sorted(map(str, after.filter(F.col("file_name") != name).collect())) == others
+    moved = after.filter(F.col("file_name") == name).collect()
+    assert {r.snapshot_timestamp for r in moved} == {1741279856 + 86400}
+
+
+@pytest.mark.parametrize("bound", ["2025-03-06 16:00:00", "2025-03-06T16:00:00Z", "nonsense"])
+def test_a_range_bound_no_format_matches_is_refused(spark, raw, bound):
+    with pytest.raises(ValueError, match="Invalid datetime"):
+        documents.read_documents(spark, f"{raw}/raw/trip_updates/*.json", "trip_updates", bound)
+
+
+def test_a_minute_is_found_when_its_header_is_of_the_day_before(spark, tmp_path):
+    midnight = int(datetime(2025, 3, 7, tzinfo=timezone.utc).timestamp())
+    df = spark.createDataFrame([(midnight - 4, midnight), (midnight + 70, midnight + 60)],
+                               "snapshot_timestamp long, snapshot_minute long")
+    tables.write_by_date(df, f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    assert [r.snapshot_timestamp for r in tables.at_minute(stored, midnight).collect()] == [midnight - 4]
+
+
+def test_a_range_replaces_its_own_rows_only(spark, tmp_path):
+    noon, path = int(datetime(2025, 3, 6, 12, tzinfo=timezone.utc).timestamp()), f"{tmp_path}/t"
+
+    def put(first, last, value):
+        rows = [(noon + 60 * i, value) for i in range(first, last + 1)]
+        df = spark.createDataFrame(rows, "snapshot_timestamp long, v int")
+        tables.replace_range(df, path, noon + 60 * first, noon + 60 * last)
+
+    put(0, 9, 1)
+    put(10, 19, 2)
+    put(5, 12, 3)
+    got = {(r.snapshot_timestamp - noon) // 60: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {i: 1 if i < 5 else 3 if i <= 12 else 2 for i in range(20)}
+    assert spark.read.parquet(path).count() == 20
+
+
 def clock_text(epoch):
     return datetime.fromtimestamp(epoch, timezone.utc).strftime("%H:%M")
 
