@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import chat, fertility, license_scan, line_runs, packing, projected_nn, simhash, toxicity, viterbi, warc
+from stopwise.llm import (
+    alignment, chat, collocations, fertility, group_join, license_scan, line_runs, packing, projected_nn, simhash, toxicity, viterbi, warc,
+)
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
 BYTES = "byte_bpe_50k.tiktoken"
+BYTE_LEVEL = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +98,20 @@ def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = alignment.align_documents(docs, public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), collocations.PhraseConfig(longest=3, least=10, within=50, top=2000))
+
+
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_join.similar_documents(table(spark, sf_dir, "documents"), group_join.JaccardConfig(words=3, percent=90)).drop("class_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": license_scans,
     "op2_line_dedup": line_dedup,
@@ -106,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": sentencepiece,
     "op9_toxicity": toxicity_scores,
     "op10_warc": warc_archives,
+    "op11_cross_tokenizer_alignment": cross_tokenizer_alignment,
+    "op12_phrase_collocations": phrase_collocations,
+    "op13_ngram_jaccard_join": ngram_jaccard_join,
 }
 
 _KEY = r"translate(trim(line, e' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -133,4 +153,51 @@ ORACLES: dict[str, str] = {
           CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
           CASE WHEN page_id = keep THEN NULL ELSE keep END AS refers_to
         FROM p JOIN k USING (h)""",
+    "op12_phrase_collocations": r"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+          FROM documents),
+        ws AS (SELECT lang, list_filter(string_split_regex(p, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+        grams AS (
+          SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS g
+          FROM ws, (VALUES (1), (2), (3)) s(k)),
+        f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+        cuts AS (
+          SELECT lang, k, g, a, p AS cut, array_to_string(w[1 : p], ' ') AS le, array_to_string(w[p + 1 : k], ' ') AS ri
+          FROM c, (VALUES (1), (2)) s(p) WHERE p < k),
+        scored AS (
+          SELECT c.lang, c.k, c.g, c.a, c.cut, x.f AS l, y.f AS r,
+            (1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f))::BIGINT AS score
+          FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.le AND x.k = c.cut JOIN f y ON y.lang = c.lang AND y.g = c.ri AND y.k = c.k - c.cut),
+        least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+        held AS (
+          SELECT lang, array_to_string(w[i : i + 1], ' ') AS g, max(a) AS longer FROM c, (VALUES (1), (2)) s(i) WHERE k = 3 GROUP BY ALL),
+        kept AS (SELECT least.* FROM least LEFT JOIN held USING (lang, g) WHERE longer IS NULL OR 100 * longer < 50 * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+        FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
+    "op13_ngram_jaccard_join": r"""
+        WITH RECURSIVE ws AS (
+          SELECT doc_id, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+          FROM documents),
+        sets AS (
+          SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))) END AS s FROM ws),
+        grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+        held AS (SELECT g, count(*) AS df FROM grams GROUP BY g),
+        rare AS (SELECT grams.*, row_number() OVER (PARTITION BY doc_id ORDER BY df, g) AS pos FROM grams JOIN held USING (g)),
+        near AS (
+          SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM rare x JOIN rare y ON x.g = y.g AND x.doc_id < y.doc_id
+          WHERE x.pos <= x.n - (90 * x.n + 99) // 100 + 1 AND y.pos <= y.n - (90 * y.n + 99) // 100 + 1
+            AND 100 * x.n >= 90 * y.n AND 100 * y.n >= 90 * x.n),
+        links AS (
+          SELECT a, b FROM near JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+          WHERE 190 * len(list_intersect(p.s, q.s)) >= 90 * (len(p.s) + len(q.s))),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, edges.b FROM reach r JOIN edges ON r.b = edges.a)
+        SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, component_id
+        FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON a = doc_id""",
 }
