@@ -5,7 +5,8 @@ are compared at the current index shift: probes of doubling length jump over str
 to one; at the first difference the irregular group is resolved token by token and gives the new shift.
 
 Both tokenizers encode what follows a lone space as if it began the text, so texts are cut there and each stretch is
-encoded and aligned once for as long as a worker remembers it.
+encoded and aligned once for as long as a worker remembers it; the same holds at lone line feeds and before marks after
+letters, as no piece crosses them.
 """
 
 from __future__ import annotations
@@ -24,21 +25,30 @@ from pyspark.sql import types as T
 from stopwise.llm.common import claim, require, shared_root, with_workers, written
 
 MARK = "▁"
-#: Stretches that a worker remembers, and the longest of them in characters; beyond that it starts anew.
-CACHE, CACHED_CHARS = 400_000, 48
+#: Stretches in each of a worker's two generations of remembered ones, and the longest of them in characters.
+CACHE, CACHED_CHARS = 160_000, 32
 #: Stretches of a text taken at a time, so that a very long text isn't held as a list of all its stretches' results.
 PART = 1 << 18
-#: A space between two characters that no tokenizer takes for white space, and a space without such a neighbour.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_BLANK = re.compile(r" \s|\s ")
+#: A space, or a lone line feed, between two characters that no tokenizer takes for white space.
+_CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
+_BLANK = re.compile(r"[ \n]\s|\s[ \n]")
+#: A mark between a letter and white space. Stands before a mark that is cut off; a character of private use.
+_POINT = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])([.,;:!?])(?=[ \n]|\Z)")
+GLUED = "\ue000"
+#: In place of the result of a stretch that a tokenizer changes.
+LOST = (b"", b"", -1, -1)
 
 
 def stretches_of(text: str) -> list[str]:
-    """The text cut at lone spaces, which go: every stretch is encoded after a space."""
-    if _BLANK.search(text) or text[0].isspace() or text[-1] == " ":
+    """The text cut where both tokenizers begin anew: at lone spaces, which go, and before lone line feeds.
+
+    ``GLUED`` stands before a stretch without a space before it. Where there is no longer white space, marks after
+    letters are cut off as well.
+    """
+    if _BLANK.search(text) or text[0].isspace() or text[-1] in " \n":
         first, *others = _CUT.split(" " + text)
-        return [first[1:], *others]
-    return text.split(" ")
+        return [first[1:], *(GLUED + s if s[0] == "\n" else s for s in others)]
+    return _POINT.sub(f" {GLUED}\\1", text).replace("\n", f" {GLUED}\n").split(" ")
 
 
 def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -94,9 +104,16 @@ class Pair:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         if any(" " in t.lstrip(b" ").decode("utf-8", "replace") for t in self.b_bytes):
             raise ValueError("a piece crosses the start of a word")
+        if any(re.search(r"\n|[A-Za-zÀ-ÖØ-öø-ɏ][.,;:!?]", p) for p in pieces):
+            raise ValueError("a piece crosses the end of a word")
         self.a_sizes = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
         self.known: dict[str, tuple[bytes, bytes, int, int]] = {}
+        self.before: dict[str, tuple[bytes, bytes, int, int]] = {}
+        self.points = {}
+        for point in ".,;:!?":
+            i, j = self.a.token_to_id(point), self.b.piece_to_id(point)
+            self.points[GLUED + point] = (f"{i}|{j}".encode(), np.array([i << 32 | j], np.int64).tobytes(), 1, 1)
 
     @classmethod
     def get(cls, a_path: str, b_path: str) -> Pair:
@@ -123,10 +140,10 @@ class Pair:
             found.update(i << 32 | j for k in range(len(t)) for i in by_a.get(t[k:], ()))
         return np.array(sorted(found), np.int64)
 
-    def _whole(self, parts: list[str], of_a: list[list[int]], of_b: list[list[int]]) -> list[int]:
+    def _whole(self, parts: list[str], glued: set[int], of_a: list[list[int]], of_b: list[list[int]]) -> list[int]:
         """Indexes of the stretches that both tokenizers give back."""
         flat_a, flat_b = (list(chain.from_iterable(x)) for x in (of_a, of_b))
-        raw = [b" " + p.encode() for p in parts]
+        raw = [p[1:].encode() if k in glued else b" " + p.encode() for k, p in enumerate(parts)]
         sizes = [len(r) for r in raw]
         if b"".join(raw) == b"".join(map(self.a_bytes.__getitem__, flat_a)) == b"".join(map(self.b_bytes.__getitem__, flat_b)):
             ends = np.cumsum(sizes)  # equal as a whole; each by itself if the ends agree as well
@@ -136,16 +153,19 @@ class Pair:
         join = lambda table, ids: b"".join(map(table.__getitem__, ids))
         return [k for k, (r, x, y) in enumerate(zip(raw, of_a, of_b, strict=True)) if join(self.a_bytes, x) == r == join(self.b_bytes, y)]
 
-    def _results(self, parts: list[str]) -> list[tuple[bytes, bytes, int, int] | None]:
+    def _results(self, parts: list[str], plain: bool = False) -> list[tuple[bytes, bytes, int, int]]:
         """For each stretch: groups as text, codes of its links, numbers of tokens.
 
-        None for a stretch that a tokenizer doesn't give back. All stretches are aligned in one go: their ends are
+        ``LOST`` for a stretch that a tokenizer doesn't give back. All stretches are aligned in one go: their ends are
         laid behind each other, so that a stretch's end is a shared one.
         """
-        of_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
-        of_b = self.b.encode(parts, num_threads=1)
-        out: list = [None] * len(parts)
-        whole = self._whole(parts, of_a, of_b)
+        glued = {k for k, p in enumerate(parts) if p[:1] == GLUED and not plain}
+        of_a = [e.ids for e in self.a.encode_batch_fast([p[1:] if k in glued else " " + p for k, p in enumerate(parts)], add_special_tokens=False)]
+        of_b = self.b.encode([p[1:] if k in glued else p for k, p in enumerate(parts)], num_threads=1)
+        for k in glued:
+            of_b[k] = of_b[k][1:]  # without the space that the model puts in front
+        out: list = [LOST] * len(parts)
+        whole = self._whole(parts, glued, of_a, of_b)
         flat_a = list(chain.from_iterable(of_a[k] for k in whole))
         flat_b = list(chain.from_iterable(of_b[k] for k in whole))
         ends_a, ends_b = np.cumsum(self.a_sizes[flat_a]).tolist(), np.cumsum(self.b_sizes[flat_b]).tolist()
@@ -164,22 +184,31 @@ class Pair:
             first = end
         return out
 
+    def _learn(self, own: list[str], found: list) -> None:
+        """Fill the gaps of ``found``, from the older generation or by encoding; the newer one becomes the older when full."""
+        gaps = [k for k, x in enumerate(found) if x is None]
+        missing = {own[k] for k in gaps}
+        here = {p: self.points.get(p) or self.before.get(p) for p in missing}
+        new = [p for p, x in here.items() if x is None]
+        if new:
+            here.update(zip(new, self._results(new), strict=True))
+        for k in gaps:
+            found[k] = here[own[k]]
+        if len(self.known) > CACHE:
+            self.before, self.known = self.known, {}
+        self.known.update((p, x) for p, x in here.items() if len(p) <= CACHED_CHARS)
+
     def document(self, text: str) -> tuple[int, int, str, bytes]:
         """Numbers of tokens, digest of the groups and codes of the links; all empty if a tokenizer loses something."""
         n_a = n_b = 0
         digest, links, joint = hashlib.sha256(), [], b""
-        stretches = stretches_of(text)
+        stretches = [text] if GLUED in text else stretches_of(text)  # a text that holds the sign itself is one stretch
         for at in range(0, len(stretches), PART):
             own = stretches[at : at + PART]
-            new = [p for p in set(own) if p not in self.known]
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-                new = list(set(own))
-            extra = {}
-            for p, result in zip(new, self._results(new) if new else [], strict=True):
-                (self.known if len(p) <= CACHED_CHARS else extra)[p] = result
-            found = [extra[p] if p in extra else self.known[p] for p in own] if extra else list(map(self.known.__getitem__, own))
+            found = list(map(self.known.get, own)) if GLUED not in text else self._results(own, plain=True)
             if None in found:
+                self._learn(own, found)
+            if LOST in found:
                 return 0, 0, "", b""
             groups, codes, of_a, of_b = zip(*found, strict=True)
             digest.update(joint + b";".join(groups))

@@ -76,9 +76,9 @@ def test_alignment_query(spark, codecs):
 
 def test_alignment_of_odd_texts(spark, codecs):
     pick = random.Random(3)
-    letters = ["a", "word", " ", "  ", "\n", "\t", "é", "日本", "▁", "</s>", "<|endoftext|>", ".", "'s", "12", "　", "\x1c", "😀", "\r\n"]
+    letters = ["a", "word", " ", "  ", "\n", "\t", "é", "日本", "▁", "</s>", "<|endoftext|>", ".", "'s", "12", "　", "\x1c", "😀", "\r\n", "\ue000"]
     rows = [(k, "".join(pick.choices(letters, k=pick.randint(1, 25))), "x") for k in range(300)]
-    rows += [(1000 + k, t, lang) for k, (_, t, lang) in enumerate(ODD)] + [(None, "no id", None), (2000, "wordwithoutspaces" * 20_000, None)]
+    rows += [(1000 + k, t, lang) for k, (_, t, lang) in enumerate(ODD)] + [(None, "no id", None), (3000, "\ue000.\ue000\n", "x"), (2000, "wordwithoutspaces" * 20_000, None)]
     got = alignment.align_documents(table(spark, rows), A, B).collect()
     check_alignment(codecs, [(d, t) for d, t, _ in rows], got)
     assert alignment.align_documents(table(spark, []), A, B).count() == 0
