@@ -30,13 +30,13 @@ from stopwise.llm.simhash import components
 SLOTS = 1 << 21
 #: Words whose hashes a worker keeps.
 CACHE = 1_000_000
-#: Words of a text taken at a time.
-PART = 1 << 20
+#: Rows of candidates that are broadcast (32 bytes each) to keep the texts from being shuffled; beyond, texts are joined by a merge.
+SENT = 1 << 20
 #: Groups of an inverted list, and shingles of candidates, that one task compares; more are dealt into blocks.
 LIST, SHINGLES = 1 << 12, 1 << 21
 #: Classes with more than this share of all rows are joined in as many parts; there are at most ``SHARES`` of them.
 SHARES, LEAST_SHARE = 1024, 1000
-_P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_P1 = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def shingles(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
-    """The ascending hashes of a text's distinct shingles; of fewer words than one has, the whole sequence is one."""
+    """The ascending hashes of a text's distinct shingles."""
+    return np.unique(all_shingles(text, words, hashes))
+
+
+def all_shingles(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
+    """The hashes of a text's shingles, repeats included; of fewer words than one has, the whole sequence is one."""
     split = (text or "").encode().lower().split()  # on bytes both touch ASCII only
     if not split:
         return np.empty(0, np.uint64)
@@ -92,8 +97,8 @@ def shingles(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
     size = min(words, len(h))
     out = np.full(len(h) - size + 1, size, np.uint64)
     for k in range(size):
-        out = mixed(out * _P1 + h[k : len(h) - size + 1 + k] + _P2)
-    return np.unique(out)
+        out = out * _P1 + h[k : len(h) - size + 1 + k]
+    return mixed(out)
 
 
 def digest(hashes: np.ndarray) -> tuple[int, int]:
@@ -117,7 +122,7 @@ def sketch(docs: DataFrame, cfg: JaccardConfig) -> np.ndarray:
         table, hashes = np.zeros(SLOTS, np.uint32), WordHashes.get()
         for _, texts in _texts(batches):
             for text in texts:
-                at = (shingles(text, cfg.words, hashes) >> np.uint64(20)) % np.uint64(SLOTS)
+                at = (all_shingles(text, cfg.words, hashes) >> np.uint64(20)) % np.uint64(SLOTS)
                 np.add.at(table, at.astype(np.int64), 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(SLOTS // block), pa.int32()), pa.array([table[i : i + block].tobytes() for i in range(0, SLOTS, block)], pa.binary())],
@@ -302,6 +307,7 @@ def member_edges(docs: DataFrame, members: DataFrame, cfg: JaccardConfig) -> Dat
     """``a``, ``b``: a forest of the links among ``members(cid, row, root, n)``, verified within each root."""
     wanted = members.select("row", "cid", "root", "n")
     weights = members.groupBy("root").agg(F.sum("n").alias("weight"))
+    wanted = F.broadcast(wanted) if wanted.count() <= SENT else wanted.hint("merge")
     texts = _rows(docs).join(wanted, "row").select("cid", "root", "text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
