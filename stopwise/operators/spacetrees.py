@@ -1,11 +1,13 @@
 """Half-space trees: scores of a stream, window by window.
 
 A row is scored with the masses of the last full window before it and counted
-into its own window afterwards. So the rows of window ``w`` only need the rows
-of window ``w - 1``: a Spark group of a few windows and the one before them has
-a fixed largest size, whatever the length of the stream. Inside a group the
-trees are walked with numpy for all rows at once; a relational form would
-shuffle one row per row and tree instead.
+into its own window afterwards; its rank is taken among the scores of one window
+up to it. So the rows of window ``w`` only need the rows of the two windows
+before: a Spark group of a few windows and the two before them has a fixed
+largest size, whatever the length of the stream. Settings that share a window
+size are scored and ranked in the same group, so the rows are shuffled once for
+each window size. Inside a group the trees are walked with numpy for all rows at
+once; a relational form would shuffle one row per row and tree instead.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stopwise.config import DetectorConfig
+from stopwise.operators.thresholds import smaller_in_window
 
 # Share of a feature's range kept free of splits at both ends, and
 # share of a window below which a node is not refined further.
@@ -96,14 +99,6 @@ def _leaf_values(leaves: np.ndarray, height: int, window_size: int) -> np.ndarra
     return value
 
 
-def _scores(
-    x: np.ndarray, values: np.ndarray, feature: np.ndarray, split: np.ndarray, cfg: DetectorConfig
-) -> np.ndarray:
-    leaves = _leaves(x, feature, split, cfg.height)
-    raw = values[np.arange(feature.shape[0]), leaves].sum(axis=1)
-    return 1.0 - raw / (cfg.n_trees * cfg.window_size * (2.0 ** (cfg.height + 1) - 1))
-
-
 # Rows walked at once, so that the row x tree arrays stay small.
 _SLICE = 4096
 
@@ -112,30 +107,57 @@ def _sliced(n: int) -> list[slice]:
     return [slice(i, i + _SLICE) for i in range(0, n, _SLICE)]
 
 
+class _Walk:
+    """The leaves that rows of a few windows reach, for all settings that share their trees.
+
+    Trees are drawn one by one from the seed, so settings that only differ in the number of trees walk the same ones:
+    the first of the most.
+    """
+
+    def __init__(self, cfgs: Sequence[DetectorConfig], n_features: int) -> None:
+        most = max(cfgs, key=lambda c: c.n_trees)
+        self.height = most.height
+        self.feature, self.split = build_trees(
+            most.n_trees, most.height, n_features, most.seed, most.lower, most.upper
+        )
+        self.uses = [np.flatnonzero((self.feature[:, 1:] == f).any(axis=1)) for f in range(n_features)]
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        parts = [_leaves(x[i], self.feature, self.split, self.height) for i in _sliced(len(x))]
+        return np.concatenate([np.empty((0, len(self.feature)), np.int64), *parts])
+
+    def without(self, x: np.ndarray, leaves: np.ndarray, f: int) -> np.ndarray:
+        """The leaves with feature ``f`` set to zero: only trees that split on it are walked again."""
+        zeroed, out, again = x.copy(), leaves.copy(), self.uses[f]
+        zeroed[:, f] = 0.0
+        out[:, again] = _leaves(zeroed, self.feature[again], self.split[again], self.height)
+        return out
+
+
+def _family(cfg: DetectorConfig) -> tuple:
+    return cfg.height, cfg.seed, cfg.lower, cfg.upper
+
+
+def _raw_scores(leaves: np.ndarray, values: np.ndarray, cfg: DetectorConfig) -> np.ndarray:
+    raw = [values[np.arange(cfg.n_trees), leaves[i, : cfg.n_trees]].sum(axis=1) for i in _sliced(len(leaves))]
+    whole = cfg.n_trees * cfg.window_size * (2.0 ** (cfg.height + 1) - 1)
+    return 1.0 - np.concatenate([np.empty(0), *raw]) / whole
+
+
 def _score_window(
-    earlier: np.ndarray, own: np.ndarray, cfg: DetectorConfig, explain: np.ndarray | None
-) -> tuple[np.ndarray, np.ndarray | None]:
-    """Scores of ``own`` and, for rows marked in ``explain``, the change per zeroed feature."""
-    n_features = own.shape[1]
-    changes = None if explain is None else np.zeros((len(own), n_features))
+    x: np.ndarray, leaves: np.ndarray, earlier: np.ndarray, walk: _Walk, cfg: DetectorConfig, marked: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of a window's rows and, for the places ``marked``, the change per zeroed feature."""
+    changes = np.zeros((len(marked), x.shape[1]))
     if len(earlier) < cfg.window_size:
-        return np.zeros(len(own)), changes
-    feature, split = build_trees(
-        cfg.n_trees, cfg.height, n_features, cfg.seed, cfg.lower, cfg.upper
-    )
-    leaves = [_leaves(earlier[i], feature, split, cfg.height) for i in _sliced(len(earlier))]
-    values = _leaf_values(np.concatenate(leaves), cfg.height, cfg.window_size)
-    scores = np.concatenate(
-        [_scores(own[i], values, feature, split, cfg) for i in _sliced(len(own))]
-    )
-    if explain is not None:
-        marked = np.flatnonzero(explain)
-        for i in _sliced(len(marked)):
-            chosen = marked[i]
-            for f in range(n_features):
-                without = own[chosen].copy()
-                without[:, f] = 0.0
-                changes[chosen, f] = scores[chosen] - _scores(without, values, feature, split, cfg)
+        return np.zeros(len(x)), changes
+    values = _leaf_values(earlier[:, : cfg.n_trees], cfg.height, cfg.window_size)
+    scores = _raw_scores(leaves, values, cfg)
+    for part in _sliced(len(marked)):
+        chosen = marked[part]
+        for f in range(x.shape[1]):
+            moved = walk.without(x[chosen], leaves[chosen], f)
+            changes[part, f] = scores[chosen] - _raw_scores(moved, values, cfg)
     return scores, changes
 
 
@@ -147,27 +169,18 @@ def windows_per_group(window_size: int) -> int:
     return max(1, GROUP_ROWS // window_size)
 
 
-def by_structure(values: dict[str, int]) -> Column:
-    """Look up a whole number by ``structure_id``."""
-    pairs = [x for sid, n in values.items() for x in (F.lit(sid), F.lit(n))]
-    return F.element_at(F.create_map(*pairs), F.col("structure_id"))
-
-
-def spread_windows(rows: DataFrame, sizes: dict[str, int]) -> DataFrame:
-    """Add ``_window``, ``_group`` and ``_own``; a group also gets the window before it.
+def spread_windows(rows: DataFrame, window_size: int) -> DataFrame:
+    """Add ``_window``, ``_group`` and ``_own``; a group also gets the two windows before it.
 
     A group takes several small windows or one large one, so it never holds more
-    than ``max(GROUP_ROWS, window_size) + window_size`` rows.
+    than ``max(GROUP_ROWS, window_size) + 2 * window_size`` rows.
     """
-    together = by_structure({s: windows_per_group(n) for s, n in sizes.items()})
-    window = F.floor((F.col("seq") - 1) / by_structure(sizes)).cast("long")
-    placed = rows.withColumn("_window", window).withColumn("_together", together)
-    home = F.floor(F.col("_window") / F.col("_together")).cast("long")
-    next_home = F.floor((F.col("_window") + 1) / F.col("_together")).cast("long")
-    return (
-        placed.withColumn("_group", F.explode(F.array_distinct(F.array(home, next_home))))
-        .withColumn("_own", F.col("_group") == home)
-        .drop("_together")
+    together = windows_per_group(window_size)
+    window = F.floor((F.col("seq") - 1) / window_size).cast("long")
+    placed = rows.withColumn("_window", window)
+    homes = [F.floor((F.col("_window") + k) / together).cast("long") for k in range(3)]
+    return placed.withColumn("_group", F.explode(F.array_distinct(F.array(*homes)))).withColumn(
+        "_own", F.col("_group") == homes[0]
     )
 
 
@@ -179,47 +192,76 @@ def score_windows(
     cfgs: dict[str, DetectorConfig],
     explain: Column | None = None,
 ) -> DataFrame:
-    """Add ``anomaly_score`` (and ``changes``) to rows numbered by ``seq`` within ``stream``.
+    """``anomaly_score`` and ``n_smaller`` (and ``changes``) of rows numbered by ``seq`` within ``stream``.
 
-    ``stream`` includes ``structure_id``, which selects the settings in ``cfgs``.
+    ``cfgs``: settings by ``structure_id``; the result has every row under each. ``n_smaller`` is the number of smaller
+    scores among the ``window_size`` up to the row. All settings of one window size share one shuffle of the rows.
     """
     passed = [*stream, *keys, "seq"]
-    wanted = explain is not None
     taken = rows.select(
         *passed,
-        (explain if wanted else F.lit(False)).alias("_explain"),
+        (explain if explain is not None else F.lit(False)).alias("_explain"),
         F.array(*[F.col(f).cast("double") for f in features]).alias("_x"),
     )
-    spread = spread_windows(taken, {s: c.window_size for s, c in cfgs.items()})
-    fields = [*taken.select(*passed).schema, T.StructField("anomaly_score", T.DoubleType())]
-    if wanted:
+    fields = [
+        *taken.select(*passed).schema,
+        T.StructField("structure_id", T.StringType()),
+        T.StructField("anomaly_score", T.DoubleType()),
+        T.StructField("n_smaller", T.LongType()),
+    ]
+    if explain is not None:
         fields.append(T.StructField("changes", T.ArrayType(T.DoubleType())))
+    out = None
+    for size in sorted({c.window_size for c in cfgs.values()}):
+        alike = {s: c for s, c in cfgs.items() if c.window_size == size}
+        run = _group_scores(alike, size, passed, explain is not None)
+        scored = spread_windows(taken, size).groupBy(*stream, "_group").applyInPandas(run, T.StructType(fields))
+        out = scored if out is None else out.unionByName(scored)
+    return out
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        mine = group.loc[group["_own"]].sort_values("seq")
-        out = mine[passed].copy()
-        score = np.zeros(len(mine))
-        change = np.empty(len(mine), dtype=object)
-        if len(mine):
-            cfg = cfgs[mine["structure_id"].iloc[0]]
-            x = {w: np.stack(part.to_numpy()) for w, part in group.groupby("_window")["_x"]}
-            window = mine["_window"].to_numpy()
-            marked = mine["_explain"].to_numpy()
-            for w in np.unique(window):
-                # The stack above keeps the group's order; this one is by seq.
-                here = np.flatnonzero(window == w)
-                own = np.stack(mine["_x"].to_numpy()[here])
-                mask = marked[here] if wanted else None
-                score[here], moved = _score_window(x.get(w - 1, own[:0]), own, cfg, mask)
-                if wanted:
-                    for place in np.flatnonzero(mask):
-                        change[here[place]] = moved[place]
-        out["anomaly_score"] = score
-        if wanted:
-            out["changes"] = pd.Series(change, index=out.index, dtype=object)
-        return out
 
-    return spread.groupBy(*stream, "_group").applyInPandas(run, T.StructType(fields))
+def _group_scores(cfgs: dict[str, DetectorConfig], size: int, passed: Sequence[str], explained: bool):
+    """The step that scores and ranks a group's own rows under all ``cfgs`` of window size ``size``."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values("seq")
+        own = rows["_own"].to_numpy(dtype=bool)
+        columns = [*passed, "structure_id", "anomaly_score", "n_smaller", *(["changes"] if explained else [])]
+        if not own.any():
+            return pd.DataFrame({c: pd.Series(dtype=object) for c in columns})
+        x = np.stack(rows["_x"].to_numpy())
+        window, marked = rows["_window"].to_numpy(), rows["_explain"].to_numpy(dtype=bool) & own
+        names, starts = np.unique(window, return_index=True)
+        spans = dict(zip(names.tolist(), map(slice, starts, [*starts[1:], len(rows)])))
+        first = int(window[own].min()) - 1  # the window before is scored too, for the ranks
+        ranked = window >= first
+        scores, ranks, changes, names_of = [], [], [], []
+        for family in dict.fromkeys(map(_family, cfgs.values())):
+            members = {s: c for s, c in cfgs.items() if _family(c) == family}
+            walk = _Walk(list(members.values()), x.shape[1])
+            leaves = walk.leaves(x)
+            for sid, cfg in members.items():
+                score, change = np.zeros(len(rows)), np.empty(len(rows), dtype=object)
+                for w, span in spans.items():
+                    if w < first:
+                        continue
+                    before = leaves[spans[w - 1]] if w - 1 in spans else leaves[:0]
+                    places = np.flatnonzero(marked[span])
+                    score[span], moved = _score_window(x[span], leaves[span], before, walk, cfg, places)
+                    for place, values in zip(places + span.start, moved):
+                        change[place] = values
+                smaller = np.zeros(len(rows), dtype=np.int64)
+                smaller[ranked] = smaller_in_window(score[ranked], size)
+                names_of += [sid] * int(own.sum())
+                scores.append(score[own]), ranks.append(smaller[own]), changes.append(change[own])
+        base = rows.loc[own, list(passed)]
+        out = {c: np.tile(base[c].to_numpy(), len(cfgs)) for c in passed}
+        out |= {"structure_id": names_of, "anomaly_score": np.concatenate(scores), "n_smaller": np.concatenate(ranks)}
+        if explained:
+            out["changes"] = np.concatenate(changes)
+        return pd.DataFrame({c: pd.Series(v, dtype=None if np.asarray(v).dtype.kind in "bif" else object) for c, v in out.items()})[columns]
+
+    return run
 
 
 def top_changes(features: Sequence[str], n: int = 3) -> Column:

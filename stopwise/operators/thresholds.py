@@ -8,59 +8,34 @@ least ``floor((n - 1) * q) + 1`` of them are smaller. The rank does not depend o
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-from collections.abc import Sequence
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from stopwise.operators.spacetrees import spread_windows
-
-
-def _smaller_in_window(scores: np.ndarray, window_size: int) -> np.ndarray:
-    """Per score, how many of the ``window_size`` scores up to it are smaller."""
-    kept: list[float] = []
-    out = np.empty(len(scores), dtype=np.int64)
-    for i, score in enumerate(scores.tolist()):
-        if i >= window_size:
-            kept.pop(bisect_left(kept, scores[i - window_size]))
-        insort(kept, score)
-        out[i] = bisect_left(kept, score)
-    return out
 
 
-def rolling_ranks(
-    scored: DataFrame,
-    stream: Sequence[str],
-    keys: Sequence[str],
-    sizes: dict[str, int],
-    along: Sequence[str] = (),
-) -> DataFrame:
-    """Add ``n_smaller``, the number of smaller scores in the row's window.
+def smaller_in_window(scores: np.ndarray, window_size: int) -> np.ndarray:
+    """Per score, how many of the ``window_size`` scores up to it are smaller.
 
-    Columns in ``along`` are handed through.
-
-    A group is a few windows of narrow rows with the window before them; see
-    :func:`stopwise.operators.spacetrees.spread_windows` for its largest size.
+    A wavelet matrix over the ranks: at each bit the rows are parted stably by it, and all windows follow their own
+    score's bits at once. A set bit leaves the window's rows without it behind, and those are smaller. Equal scores
+    rank from the last to the first, so that no earlier one counts as smaller.
     """
-    passed = [*stream, *keys, "seq", "anomaly_score", *along]
-    taken = scored.select(*passed)
-    spread = spread_windows(taken, sizes)
-    schema = T.StructType([*taken.schema, T.StructField("n_smaller", T.LongType())])
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        ordered = group.sort_values("seq")
-        mine = ordered["_own"].to_numpy(dtype=bool)
-        ranks = np.zeros(len(ordered), dtype=np.int64)
-        if mine.any():
-            size = sizes[ordered["structure_id"].iloc[0]]
-            ranks = _smaller_in_window(ordered["anomaly_score"].to_numpy(), size)
-        return ordered.loc[mine, passed].assign(n_smaller=ranks[mine])
-
-    return spread.groupBy(*stream, "_group").applyInPandas(run, schema)
+    n = len(scores)
+    place = np.arange(n)
+    rank = np.empty(n, dtype=np.int64)
+    rank[np.lexsort((-place, scores))] = place
+    low, high = np.maximum(place - window_size + 1, 0), place + 1
+    out, level = np.zeros(n, dtype=np.int64), rank
+    for bit in range(max(n - 1, 0).bit_length() - 1, -1, -1):
+        unset = (level >> bit) & 1 == 0
+        before = np.concatenate([[0], np.cumsum(unset)])
+        low_unset, high_unset = before[low], before[high]
+        up = (rank >> bit) & 1 == 1
+        out += np.where(up, high_unset - low_unset, 0)
+        low = np.where(up, before[-1] + low - low_unset, low_unset)
+        high = np.where(up, before[-1] + high - high_unset, high_unset)
+        level = np.concatenate([level[unset], level[~unset]])
+    return out
 
 
 def above_quantile(window_size: Column, quantile: Column) -> Column:

@@ -95,17 +95,10 @@ def score_numbered(
 ) -> DataFrame:
     """Score numbered rows under every structure of ``cfgs`` (by structure id)."""
     ship_package(numbered.sparkSession)
-    structures = F.explode(F.array(*[F.lit(s) for s in cfgs])).alias("structure_id")
-    rows = numbered.select("*", structures)
-    stream = [*scope, "structure_id", "day"]
-    scored = spacetrees.score_windows(rows, names, stream, _KEYS, cfgs, explain)
-    along = ["changes"] if explain is not None else []
-    ranked = thresholds.rolling_ranks(
-        scored, stream, _KEYS, {s: c.window_size for s, c in cfgs.items()}, along
-    )
+    scored = spacetrees.score_windows(numbered, names, [*scope, "day"], _KEYS, cfgs, explain)
     if explain is None:
-        return ranked
-    return ranked.withColumn(
+        return scored
+    return scored.withColumn(
         "top_features", F.when(F.col("changes").isNotNull(), spacetrees.top_changes(names))
     ).drop("changes")
 
@@ -172,17 +165,18 @@ def continue_scores(
     features: DataFrame,
     cfg: DetectorConfig,
     use: DetectorInput = DetectorInput(),
+    explain: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Score ``features`` as the continuation of an earlier run.
 
-    Returns the new scores and the numbered rows of both runs, from which
+    ``explain`` as in :func:`score_features`. Returns the new scores and the numbered rows of both runs, from which
     :func:`rows_to_carry` makes the next state.
     """
     names = feature_names(features, use)
     fresh = number_rows(detector_rows(features, use, cfg.daily_reset), use.scope)
     if carried is None:
-        scored = score_numbered(fresh, names, {cfg.structure_id: cfg}, use.scope)
-        return _public(scored, cfg, use, False), fresh
+        scored = score_numbered(fresh, names, {cfg.structure_id: cfg}, use.scope, explain)
+        return _public(scored, cfg, use, explain is not None), fresh
     by_day = [*use.scope, "day"]
     offsets = carried.groupBy(*by_day).agg(F.max("seq").alias("_offset"))
     shifted = (
@@ -191,9 +185,12 @@ def continue_scores(
         .drop("_offset")
     )
     numbered = carried.unionByName(shifted.select(*carried.columns))
-    scored = score_numbered(numbered, names, {cfg.structure_id: cfg}, use.scope)
+    # Carried rows were explained when they were new.
+    late = F.col("seq") > F.coalesce(F.col("_offset"), F.lit(0))
+    marked = numbered.join(offsets, by_day, "left") if explain is not None else numbered
+    scored = score_numbered(marked, names, {cfg.structure_id: cfg}, use.scope, None if explain is None else late & explain)
     new = scored.join(shifted.select(*use.scope, *_KEYS), [*use.scope, *_KEYS], "left_semi")
-    return _public(new, cfg, use, False), numbered
+    return _public(new, cfg, use, explain is not None), numbered
 
 
 def run_summary(scored: DataFrame) -> DataFrame:

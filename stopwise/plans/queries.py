@@ -836,7 +836,7 @@ def hst_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir).select("ts", "stop_id", "direction_id", "anomaly_flag")
 
 
-_EXPLAINED = "arrival_delay_t > 250"
+_EXPLAINED = "stop_id IS NOT NULL"  # all rows
 oracles.VIEWS["xkeys"] = f"""
   SELECT row_number() OVER (ORDER BY d.rid, f.feature) AS vid, d.rid, f.feature AS zeroed
   FROM det d, (SELECT DISTINCT feature FROM detlong) f WHERE d.{_EXPLAINED}"""

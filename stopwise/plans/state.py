@@ -6,7 +6,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from stopwise.config import DetectorConfig
 from stopwise.operators.spacetrees import build_trees
@@ -34,9 +34,9 @@ class Detector:
     use: DetectorInput
     carried: DataFrame | None = None
 
-    def score(self, features: DataFrame) -> tuple[DataFrame, Detector]:
-        """Scores of ``features`` in continuation, and the detector after them."""
-        scores, numbered = continue_scores(self.carried, features, self.cfg, self.use)
+    def score(self, features: DataFrame, explain: Column | None = None) -> tuple[DataFrame, Detector]:
+        """Scores of ``features`` in continuation, and the detector after them; rows with ``explain`` explained."""
+        scores, numbered = continue_scores(self.carried, features, self.cfg, self.use, explain)
         left = rows_to_carry(numbered, self.cfg, self.use.scope)
         return scores, replace(self, carried=left)
 

@@ -46,25 +46,47 @@ def replace_range(
     epoch: str = "snapshot_timestamp",
     zone: str = clock.LONDON,
 ) -> None:
-    """Write ``df``, the rows of ``start <= epoch <= end``, and leave the others stored at ``path``.
+    """Write ``df``, the rows of ``start <= epoch <= end``, in place of the stored rows of that range.
 
     Only the dates the range begins or ends in hold other rows. They are copied
-    before the dates are replaced.
+    before the dates are replaced. Dates of the range that get no row lose theirs.
     """
     spark = df.sparkSession
-    edges = [b for b in (start, end) if b is not None]
-    if edges and documents.matches(spark, f"{path}/year=*"):
+    days = [None if b is None else F.to_date(clock.local_time(F.lit(int(b)), zone)) for b in (start, end)]
+    held = _date_folders(spark, path)
+    if held and any(d is not None for d in days):
         folder = F.make_date(*[F.col(c).cast("int") for c in _DATE])
-        days = [F.to_date(clock.local_time(F.lit(int(b)), zone)) for b in edges]
         outside = F.lit(False)
         if start is not None:
             outside = outside | (F.col(epoch) < F.lit(int(start)))
         if end is not None:
             outside = outside | (F.col(epoch) > F.lit(int(end)))
         stored = spark.read.option("mergeSchema", True).parquet(path)
-        others = stored.filter(folder.isin(*days) & outside).drop(*_DATE)
+        others = stored.filter(folder.isin(*[d for d in days if d is not None]) & outside).drop(*_DATE)
         df = df.unionByName(checkpointed(others), allowMissingColumns=True)
     write_by_date(df, path, epoch, zone, mode="overwrite")
+    if held:
+        least, most = (None if d is None else str(spark.range(1).select(d.cast("string")).first()[0]) for d in days)
+        now = _date_folders(spark, path)
+        fs_conf = spark._jsc.hadoopConfiguration()
+        for date, (folder_path, files) in held.items():  # at most one a day
+            inside = (least is None or date >= least) and (most is None or date <= most)
+            if inside and now.get(date, (None, files))[1] == files:  # not written: a written date has new files
+                old = spark._jvm.org.apache.hadoop.fs.Path(folder_path)
+                old.getFileSystem(fs_conf).delete(old, True)
+
+
+def _date_folders(spark: SparkSession, path: str) -> dict[str, tuple[str, frozenset[str]]]:
+    """Folder and file names of each stored date (``YYYY-MM-DD``)."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/month=*/day=*")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = {}
+    for found in fs.globStatus(pattern) or []:
+        folder = found.getPath()
+        parts = [p.split("=")[1] for p in folder.toString().split("/")[-3:]]
+        date = f"{int(parts[0]):04d}-{int(parts[1]):02d}-{int(parts[2]):02d}"
+        out[date] = (folder.toString(), frozenset(f.getPath().getName() for f in fs.listStatus(folder)))
+    return out
 
 
 def read_dated(

@@ -34,7 +34,13 @@ class FeatureStream:
     """The foreachBatch step that turns raw files into feature rows.
 
     Minutes are closed once ``allowed_lateness`` seconds newer files have been
-    seen. A closed minute is not opened again; files for it are set aside.
+    seen. A closed minute is not opened again; files for it are set aside under
+    ``late``, files without a minute or without readable text under ``rejected``.
+    So every file read is in a closed minute, pending, late or rejected.
+
+    A step's output carries its number: twice the number of the micro-batch, or one
+    more for a flush after it. The number is entered in the ``ledger`` once the
+    step is complete, for readers that must not take a step twice.
     """
 
     def __init__(
@@ -54,20 +60,24 @@ class FeatureStream:
         self.allowed_lateness = allowed_lateness
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self._step(batch.select("body", "file_name", "feed"), batch_id, self.allowed_lateness)
+        self._step(batch.select("body", "file_name", "feed"), 2 * batch_id, self.allowed_lateness)
 
     def flush(self) -> None:
         """Close every minute seen so far."""
         last = self.state.latest()
         if last is not None:
             nothing = self.state.table(last, "pending").drop("minute").limit(0)
-            self._step(nothing, last + 1, 0)
+            self._step(nothing, last | 1, 0)  # after a flush, the same number again
 
     def _step(self, texts: DataFrame, batch_id: int, lateness: int) -> None:
         cfg = self.cfg
         before = self.state.before(batch_id)
         known = {"closed": None, "seen": None}
         timed = self._timed(texts)
+        reason = F.when(F.expr("try_parse_json(body)").isNull(), "unreadable").when(F.col("minute").isNull(), "no minute")
+        refused = timed.withColumn("reason", reason).filter("reason IS NOT NULL")
+        refused.write.mode("overwrite").parquet(f"{self.out_path}/rejected/batch_id={batch_id}")
+        timed = timed.filter(reason.isNull())
         carry = None
         if before is not None:
             known = self.state.meta(before)
@@ -128,6 +138,9 @@ class FeatureStream:
             {"rows": kept.rows, "lags": kept.lags, "pending": pending},
             {"closed": done, "seen": seen},
         )
+        self.spark.range(1).select(F.lit(batch_id).cast("long").alias("number")).coalesce(1).write.mode("overwrite").json(
+            f"{self.out_path}/ledger/step={batch_id}"
+        )
         self.state.forget(batch_id)
 
 

@@ -29,24 +29,21 @@ class StateFolder:
         line = self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1)
         line.write.mode("overwrite").text(self._at(batch_id, "meta"))
 
-    def before(self, batch_id: int) -> int | None:
-        """Number of the latest complete state before ``batch_id``."""
+    def _numbers(self) -> list[int]:
         jvm = self.spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return None
-        numbers = [
-            int(f.getPath().getName().split("=")[1])
-            for f in fs.listStatus(root)
-            if f.getPath().getName().startswith("batch=")
-        ]
-        done = [
+        names = [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else []
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
+
+    def before(self, batch_id: int) -> int | None:
+        """Number of the latest complete state before ``batch_id``."""
+        done = (
             n
-            for n in numbers
+            for n in reversed(self._numbers())
             if n < batch_id and exists(self.spark, f"{self._at(n, 'meta')}/_SUCCESS")
-        ]
-        return max(done, default=None)
+        )
+        return next(done, None)
 
     def latest(self) -> int | None:
         return self.before(1 << 62)
@@ -58,9 +55,8 @@ class StateFolder:
         return json.loads(self.spark.read.text(self._at(batch_id, "meta")).first()[0])
 
     def forget(self, batch_id: int, keep: int = 2) -> None:
-        """Drop states older than the ``keep`` before ``batch_id``."""
+        """Drop all states but the ``keep`` before ``batch_id`` and later ones."""
         jvm = self.spark._jvm
-        old = jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={batch_id - keep}")
-        fs = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if fs.exists(old):
-            fs.delete(old, True)
+        for n in [n for n in self._numbers() if n < batch_id][:-keep]:
+            old = jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={n}")
+            old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)

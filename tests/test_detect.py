@@ -102,7 +102,7 @@ def test_rank_rule_equals_the_quantile():
     rng = random.Random(1)
     for n, q in ((10, 0.9), (33, 0.97), (50, 0.5)):
         scores = np.array([rng.choice((0.1, 0.2, 0.3, 0.4, rng.random())) for _ in range(300)])
-        ranks = thresholds._smaller_in_window(scores, n)
+        ranks = thresholds.smaller_in_window(scores, n)
         for i in range(n - 1, 300):
             window = scores[i - n + 1 : i + 1]
             assert ranks[i] == bisect_left(sorted(window), scores[i])
@@ -187,3 +187,33 @@ def test_settings_ignore_what_has_no_effect(tmp_path):
     assert DetectorConfig.from_yaml(str(path)) == DetectorConfig(n_trees=7)
     with pytest.raises(TypeError):
         DetectorConfig.from_mapping({"n_tree": 7})
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 300])
+@pytest.mark.parametrize("window", [1, 3, 64, 1000])
+def test_ranks_in_sliding_windows(n, window):
+    scores = np.random.default_rng(n).integers(0, 12, n) / 7.0  # many ties
+    want = [int((scores[max(0, i - window + 1) : i + 1] < scores[i]).sum()) for i in range(n)]
+    assert thresholds.smaller_in_window(scores, window).tolist() == want
+
+
+def test_ranks_of_a_large_window_take_no_row_loop():
+    import time
+
+    scores = np.random.default_rng(1).random(200_000)
+    start = time.perf_counter()
+    ranks = thresholds.smaller_in_window(scores, 10_000)
+    assert time.perf_counter() - start < 5
+    for i in (0, 9_999, 10_000, 123_456):
+        assert ranks[i] == (scores[max(0, i - 9_999) : i + 1] < scores[i]).sum()
+
+
+def test_one_shuffle_of_the_rows_for_each_window_size(spark):
+    rows = spark.createDataFrame(
+        [("2025-04-06", k, "A", 0, k + 1, 0.5) for k in range(40)], "day string, ts long, stop_id string, direction_id int, seq long, f double"
+    )
+    cfgs = {c.structure_id: c for c in (DetectorConfig(n_trees=t, height=h, window_size=w) for t in (2, 3) for h in (2, 3) for w in (5, 8))}
+    scored = detect.score_numbered(rows, ["f"], cfgs)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert len(cfgs) == 8 and plan.count("Exchange hashpartitioning") == 2 and plan.count("FlatMapGroupsInPandas") == 2
+    assert scored.count() == 40 * 8

@@ -37,3 +37,21 @@ def test_from_raw_files_to_metrics(spark, tmp_path):
     assert spark.read.option("header", True).csv(f"{tmp_path}/csv").count() == 2
     assert spark.read.json(f"{tmp_path}/best").count() == 1
     assert pipeline.settings_table(spark, cfg).first().n_trees == 3
+
+
+def test_a_range_run_again_leaves_no_old_rows(spark, tmp_path):
+    from stopwise.sources import tables
+
+    day, path = 86400, f"{tmp_path}/t"
+    stored = lambda: sorted((r.snapshot_timestamp, r.v) for r in spark.read.parquet(path).collect())
+    frame = lambda rows: spark.createDataFrame(rows, "snapshot_timestamp long, v int")
+    first = [(day * d + 3600 * h, 1) for d in range(1, 6) for h in (1, 12)]
+    tables.write_by_date(frame(first), path, zone="UTC")
+    start, end = 2 * day + 7200, 5 * day + 7200  # begins and ends within a date
+    tables.replace_range(frame([(3 * day, 2)]), path, start, end, zone="UTC")
+    outside = [r for r in first if not start <= r[0] <= end]
+    assert stored() == sorted([*outside, (3 * day, 2)])  # day 4, inside, is empty now
+    tables.replace_range(frame([]), path, day, 2 * day - 1, zone="UTC")  # a whole date, without a row
+    assert stored() == sorted([r for r in outside if r[0] >= 2 * day] + [(3 * day, 2)])
+    tables.replace_range(frame([(9 * day, 3)]), path, None, None, zone="UTC")
+    assert stored() == [(9 * day, 3)]

@@ -2,13 +2,14 @@ import json
 import random
 
 import feature_model as model
+from pyspark.sql import functions as F
 from test_features import START, TU, VP, assert_same, frame, stops_frame, update
 
 from stopwise.config import DetectorConfig, FeatureConfig
 from stopwise.functions import clock
 from stopwise.plans import detect
 from stopwise.plans.features import station_features
-from stopwise.streaming.detect import DetectorStream, detector_stream
+from stopwise.streaming.detect import DetectorStream, detector_stream, ledger_stream
 from stopwise.streaming.features import FeatureStream, feature_stream
 from stopwise.streaming.ingest import ingest_stream, replay_stream
 
@@ -122,6 +123,76 @@ def test_feature_and_detector_streams_equal_the_batch(spark, tmp_path):
     assert len(got) > 30 and sum(r[-1] for r in got) > 0
 
 
+def test_chained_streams_take_every_feature_step_once(spark, tmp_path):
+    tu, vp, minutes = small_feed(12)
+    raw, out = tmp_path / "raw", f"{tmp_path}/out"
+    stops = stops_frame(spark, NETWORK)
+    small = DetectorConfig(n_trees=3, height=3, window_size=12, threshold_quantile=0.8, seed=5)
+    steps = []
+
+    class Recorded(FeatureStream):
+        def __call__(self, batch, batch_id):
+            steps.append(batch_id)
+            self.texts = [tuple(r) for r in batch.select("body", "file_name", "feed").collect()]
+            super().__call__(batch, batch_id)
+
+    def features():
+        step = Recorded(spark, stops, out, f"{tmp_path}/state", FeatureConfig(), allowed_lateness=0)
+        feature_stream(spark, str(raw), step, f"{tmp_path}/cp").awaitTermination()
+        return step
+
+    def scores(schema, use):
+        step = DetectorStream(spark, f"{tmp_path}/scores", f"{tmp_path}/dstate", small, use, explain=F.lit(True))
+        ledger_stream(spark, out, schema, step, f"{tmp_path}/dcp").awaitTermination()
+
+    for m in minutes[:6]:
+        write_updates(raw, tu, m)
+        write_vehicles(raw, vp, m)
+    step = features()
+    schema = spark.read.parquet(f"{out}/features/batch_id=0").drop("year", "month", "day").schema
+    use = detect.DetectorInput(stations=None, features=detect.feature_names(spark.createDataFrame([], schema), USE))
+    scores(schema, use)
+    # The feature batch is repeated after the detector has read it.
+    step(spark.createDataFrame(step.texts, "body string, file_name string, feed string"), steps[-1])
+    scores(schema, use)
+    for m in minutes[6:]:
+        write_updates(raw, tu, m)
+        write_vehicles(raw, vp, m)
+    step = features()
+    scores(schema, use)
+    step.flush()
+    step.flush()
+    scores(schema, use)
+
+    found = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{out}/features")
+    whole = detect.score_features(found, small, use, explain=F.lit(True))
+    names = ("ts", "stop_id", "direction_id", "seq", "anomaly_score", "anomaly_flag", "shap_top3_json")
+    got = sorted(tuple(r[n] for n in names) for r in spark.read.parquet(f"{tmp_path}/scores").collect())
+    assert got == sorted(tuple(r[n] for n in names) for r in whole.collect())
+    assert len(got) > 30 and all(r[-1] for r in got)
+
+
+def test_every_document_is_accounted_for(spark, tmp_path):
+    tu, vp, minutes = small_feed(6)
+    raw, out = tmp_path / "raw", f"{tmp_path}/out"
+    for m in minutes:
+        write_updates(raw, tu, m)
+        write_vehicles(raw, vp, m)
+    (raw / "trip_updates" / "noname.json").write_text(json.dumps({"entity": []}))
+    (raw / "vehicle_positions" / name_of(minutes[2]).replace(".json", "x.json")).write_text("{}")
+    broken = raw / "vehicle_positions" / name_of(minutes[1])
+    broken.write_text("{not json")
+    step = FeatureStream(spark, stops_frame(spark, NETWORK), out, f"{tmp_path}/state", FeatureConfig(), allowed_lateness=120)
+    feature_stream(spark, str(raw), step, f"{tmp_path}/cp").awaitTermination()
+    rejected = {(r.file_name, r.reason) for r in spark.read.parquet(f"{out}/rejected").collect()}
+    assert (broken.name, "unreadable") in rejected and ("noname.json", "no minute") in rejected
+    last = step.state.latest()
+    pending = step.state.table(last, "pending").select("feed", "file_name").distinct().count()
+    closed = step.state.meta(last)["closed"]
+    done = sum(2 for m in minutes if m <= closed) - 1  # one of them was broken
+    assert pending + done + len(rejected) == 2 * len(minutes) + 2
+
+
 def test_ingest_stream_repeats_without_doubling(spark, tmp_path):
     tu, vp, minutes = small_feed(4)
     raw, out = tmp_path / "raw", f"{tmp_path}/out"
