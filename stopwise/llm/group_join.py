@@ -29,7 +29,7 @@ from stopwise.llm.simhash import components
 #: Counters of the sketch that orders shingles.
 SLOTS = 1 << 21
 #: Words whose hashes a worker keeps.
-CACHE = 1_000_000
+CACHE = 300_000
 #: Rows of candidates that are broadcast (32 bytes each) to keep the texts from being shuffled; beyond, texts are joined by a merge.
 SENT = 1 << 20
 #: Groups of an inverted list, and shingles of candidates, that one task compares; more are dealt into blocks.
