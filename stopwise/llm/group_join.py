@@ -261,16 +261,23 @@ def group_edges(groups: DataFrame, cfg: JaccardConfig) -> DataFrame:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
         for rows in _runs(batches, 3):
             gids, sizes = [r[0] for r in rows], np.array([r[1] for r in rows], np.int64)
-            least = min(width(int(x)) for x in sizes)
-            maps = [r[2] for r in rows]
-            blind = np.array([m is None for m in maps])
-            table = np.array([np.zeros(least // 64, np.uint64) if m is None else folded(m, least) for m in maps])
-
-            def near(one: int, others: np.ndarray, sizes=sizes, blind=blind, table=table) -> np.ndarray:
+            widths = np.array([width(int(x)) for x in sizes])
+            maps, blind = [r[2] for r in rows], np.array([r[2] is None for r in rows])
+            # A pair is compared at the lesser width of its two: folded further, long sets would all look alike.
+            tables = {
+                int(w): np.array([np.zeros(w // 64, np.uint64) if m is None or own < w else folded(m, int(w)) for m, own in zip(maps, widths, strict=True)])
+                for w in np.unique(widths)
+            }
+
+            def near(one: int, others: np.ndarray, sizes=sizes, blind=blind, widths=widths, tables=tables) -> np.ndarray:
                 n, m = sizes[one], sizes[others]
                 fits = 100 * np.minimum(n, m) >= cfg.percent * np.maximum(n, m)
-                apart = np.bitwise_count(table[others] ^ table[one]).sum(1)
-                return fits & (blind[one] | blind[others] | (apart <= cfg.most_apart(n + m)))
+                at = np.minimum(widths[others], widths[one])
+                for w, table in tables.items():
+                    some = np.flatnonzero(fits & (at == w))
+                    apart = np.bitwise_count(table[others[some]] ^ table[one]).sum(1)
+                    fits[some] = blind[one] | blind[others[some]] | (apart <= cfg.most_apart(n + m[some]))
+                return fits
 
             yield from ((gids[a], gids[b]) for a, b in forest(len(rows), near))
 
