@@ -11,6 +11,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -163,21 +164,32 @@ def _step(donor, bins, length, owner, fill, size) -> tuple[tuple[int, ...], tupl
     others = np.flatnonzero((room[owner] > 0) & (length < (length[mine[0]] + (length[mine[1]] if len(mine) > 1 else 0))))
     if len(others):
         theirs, limit = length[others], room[owner[others]]
-        gives = [((x,), int(length[x])) for x in mine]
-        gives += [((x, y), int(length[x] + length[y])) for k, x in enumerate(mine[:12]) for y in mine[k + 1 : 12]]
-        tried: set[int] = set()
-        for give, total in gives:
-            if total in tried or total <= gained:
-                continue
-            tried.add(total)
-            gain = total - theirs
-            gain[(gain > limit) | (gain <= 0)] = 0
-            k = int(np.argmax(gain))
-            if gain[k] > gained:
-                best, gained = (give, (int(others[k]),), int(owner[others[k]])), int(gain[k])
+        # What the donor may give, by total: one or two pieces. Equal lengths are one choice, so there are fewer than ``size`` totals.
+        kinds = {int(length[x]): x for x in mine}
+        pairs = {int(length[x] + length[y]): (x, y) for x, y in _pairs(mine, length)}
+        gives = pairs | {n: (x,) for n, x in kinds.items()}  # one piece rather than two
+        totals = np.array(sorted(gives), np.int64)
+        # Each of the others takes the largest total that its bin has room for once it has left.
+        at = np.searchsorted(totals, theirs + limit, "right") - 1
+        gain = np.where(at >= 0, totals[at] - theirs, 0)
+        k = int(np.argmax(gain))
+        if gain[k] > gained:
+            best = (gives[int(totals[at[k]])], (int(others[k]),), int(owner[others[k]]))
     return best
 
 
+def _pairs(mine: list[int], length: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs of pieces of ``mine`` (by length) that cover all sums of two; of each length at most two are looked at."""
+    seen: dict[int, int] = {}
+    few: list[int] = []
+    for x in mine:
+        n = int(length[x])
+        seen[n] = seen.get(n, 0) + 1
+        if seen[n] <= 2:
+            few.append(x)
+    return combinations(few, 2)
+
+
 _PIECE = {"doc_id": "long", "piece": "int", "start": "long", "length": "long", "ids_crc32": "long"}
 _DDL = ", ".join(f"{n} {t}" for n, t in _PIECE.items())
 
