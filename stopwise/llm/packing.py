@@ -8,10 +8,12 @@ dealt anew in the next round, until one group is left.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -27,27 +29,34 @@ END = 1
 GROUP = 1 << 14
 #: Bins at least this full are closed in every round.
 CLOSED = 0.995
-CACHE, CACHED_BYTES = 250_000, 48
-PART = 1 << 18
-#: Stands between words that are encoded in one call; a character of private use, so it is a token run of its own.
-BETWEEN = "\ue000"
+#: Words in each of a worker's two generations of remembered ones, and the longest of them.
+CACHE, CACHED_BYTES = 200_000, 48
+#: Words looked up together.
+PART = 1 << 16
+#: A mark between a letter and white space.
+_POINT = re.compile(r"(?<=[A-Za-zß-öø-ÿ])([.,;:!?])(?=\s)")
 
 
 class WordTokens:
-    """Ids of white-space separated words, as bytes, with a bounded cache; one per worker process.
+    """Ids of white-space separated words, as bytes, remembered in two generations; one per worker process.
 
-    The vocabulary splits at white space before anything else, so words encode alike alone and in their text.
+    The vocabulary splits at white space before anything else and lower-cases, so words encode alike alone and in their
+    text. It also splits between a letter and a mark, so that closing marks are words of their own.
     """
 
     _open: dict[str, WordTokens] = {}
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
-        self.mark = self.model.encode(BETWEEN, add_special_tokens=False).ids
+        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        vocabulary = self.model.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     @classmethod
     def get(cls, path: str) -> WordTokens:
@@ -56,34 +65,60 @@ class WordTokens:
             mine[path] = cls(path)
         return mine[path]
 
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of the text."""
-        words = text.encode().split()
-        return b"".join(self._part(words[at : at + PART]) for at in range(0, len(words), PART))
-
-    def _encode_all(self, words: list[str]) -> list[bytes]:
-        """Ids of each word from one call, cut where the mark between them shows."""
-        if len(words) < 2 or any(BETWEEN in w for w in words):
-            return [np.array(self.model.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
-        ids = np.array(self.model.encode(f" {BETWEEN} ".join(words), add_special_tokens=False).ids, "<u4")
-        mark, last = self.mark, len(ids) - len(self.mark) + 1
-        cuts = np.flatnonzero(np.logical_and.reduce([ids[i : last + i] == m for i, m in enumerate(mark)]))
-        if len(cuts) != len(words) - 1:
-            return [np.array(self.model.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
-        starts, ends, raw = [0, *(4 * (cuts + len(mark))).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)], ids.tobytes()
-        return [raw[a:b] for a, b in zip(starts, ends, strict=True)]
-
-    def _part(self, words: list[bytes]) -> bytes:
-        own = set(words)
-        new = [w for w in own if w not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = list(own)
-        extra: dict[bytes, bytes] = {}
-        for word, ids in zip(new, self._encode_all([w.decode() for w in new]), strict=True):
-            (self.known if len(word) <= CACHED_BYTES else extra)[word] = ids
-        known = self.known if not extra else {w: extra.get(w) or self.known.get(w, b"") for w in own}
-        return b"".join(map(known.__getitem__, words))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; the words of some of them are looked up together."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        group: list[tuple[int, list[bytes]]] = []
+        held = 0
+        for k, text in enumerate(texts):
+            if any(t in text for t in self.special):  # one token wherever it stands
+                out[k].append(np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            words = _POINT.sub(r" \1", text).encode().lower().split()
+            for at in range(0, len(words), PART):
+                group.append((k, words[at : at + PART]))
+                held += len(group[-1][1])
+                if held >= PART:
+                    self._add(group, out)
+                    group, held = [], 0
+        self._add(group, out)
+        return [b"".join(parts) for parts in out]
+
+    def _add(self, group: list[tuple[int, list[bytes]]], out: list[list[bytes]]) -> None:
+        table = self._table(set(chain.from_iterable(words for _, words in group)))
+        for k, words in group:
+            out[k].append(b"".join(map(table.__getitem__, words)))
+
+    def _table(self, own: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of the words ``own``, among others."""
+        if len(self.known) > CACHE:
+            self.before, self.known = self.known, {}
+        missing = own.difference(self.known)
+        here = {w: self.before[w] for w in missing if w in self.before}
+        new = [w for w in missing if w not in here]
+        here.update(zip(new, self._encode_all(new), strict=True))
+        self.known.update((w, ids) for w, ids in here.items() if len(w) <= CACHED_BYTES)
+        if any(len(w) > CACHED_BYTES for w in missing):
+            return {w: self.known[w] for w in own if w in self.known} | here
+        return self.known
+
+    def _encode_all(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word. Words of letters only have one last token each, so they are encoded in one call and cut behind those."""
+        texts = [w.decode() for w in words]
+        plain = [k for k, t in enumerate(texts) if t.isalpha()]
+        out: list[bytes] = [b""] * len(words)
+        ids = np.array(self.model.encode_batch_fast([" ".join([texts[k] for k in plain])], add_special_tokens=False)[0].ids, "<u4")
+        cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(cuts) == len(plain):
+            raw = ids.tobytes()
+            for k, a, b in zip(plain, [0, *cuts], cuts, strict=False):
+                out[k] = raw[a:b]
+        else:
+            plain = []
+        rest = sorted(set(range(len(words))).difference(plain))
+        for k, e in zip(rest, self.model.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False), strict=True):
+            out[k] = np.array(e.ids, "<u4").tobytes()
+        return out
 
 
 def best_fit(lengths: list[int], size: int) -> list[list[int]]:
@@ -207,8 +242,9 @@ def pieces(docs: DataFrame, vocabulary: str, size: int = 4096, keep_ids: bool =
         model = WordTokens.get(vocabulary)
         for batch in batches:
             out: list[tuple] = []
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = model.encode(text.as_py() or "") + end
+            own_ids = chain.from_iterable(model.encode([t.as_py() or "" for t in batch.column(1).slice(i, 256)]) for i in range(0, batch.num_rows, 256))
+            for doc, ids in zip(batch.column(0), own_ids, strict=True):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     own = ids[at : at + 4 * size]
                     out.append((doc.as_py(), k, at // 4, len(own) // 4, zlib.crc32(own), *([own] if keep_ids else [])))
