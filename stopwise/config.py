@@ -60,6 +60,9 @@ class FeatureConfig:
     vp_lag_secs: int = 60
     lag_buffer_secs: int = 10
     lag_history: int = 60
+    # Columns that tell a row's place in its minute's document, for the lags that are remembered.
+    # Without any, the oldest rows of a minute count as the first.
+    feed_order: tuple[str, ...] = ()
     max_future_secs: int = 7200
     future_ceiling_secs: int = 14400
     max_headway_secs: int = 3600

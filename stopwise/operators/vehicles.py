@@ -40,11 +40,27 @@ def latest_vehicles(vp: DataFrame, cfg: FeatureConfig) -> DataFrame:
 
 
 def minute_lags(rows: DataFrame, cfg: FeatureConfig) -> DataFrame:
-    """Per minute, the lags of its newest rows as an array of at most ``lag_history`` items.
+    """Per minute, the lags of its last rows as an array of at most ``lag_history`` items.
 
-    Rows are counted per lag first. Within a minute the oldest rows come first.
+    ``cfg.feed_order`` tells which rows are the last ones; rows of one place go by
+    age, the oldest first, and rows without a place come before all others. Every
+    map task sends a minute's last ``lag_history`` rows at most. Without an order
+    the newest rows are the last ones, and rows are counted per lag first.
     """
     lag = F.greatest(F.col("snapshot_minute") - F.col("snapshot_timestamp"), F.lit(0))
+    if cfg.feed_order:
+        last_first = Window.partitionBy(*cfg.minute_key).orderBy(
+            *[F.desc_nulls_last(c) for c in cfg.feed_order], "lag"
+        )
+        last = (
+            rows.select(*cfg.minute_key, lag.cast("int").alias("lag"), *cfg.feed_order)
+            .withColumn("_back", F.row_number().over(last_first))
+            .filter(F.col("_back") <= cfg.lag_history)
+        )
+        in_order = F.reverse(F.array_sort(F.collect_list(F.struct("_back", "lag"))))
+        return last.groupBy(*cfg.minute_key).agg(
+            F.transform(in_order, lambda r: r["lag"]).alias("lags")
+        )
     counts = (
         rows.withColumn("lag", lag.cast("int"))
         .groupBy(*cfg.minute_key, "lag")
@@ -116,3 +132,19 @@ def tolerances(
     return filled.select(
         *cfg.minute_key, F.coalesce(out, F.lit(base_secs)).cast("long").alias(out)
     )
+
+
+def feed_limits(
+    tu: DataFrame, vp: DataFrame, served: DataFrame, cfg: FeatureConfig
+) -> DataFrame:
+    """``tu_tolerance`` and ``vp_tolerance`` of each minute of ``served``.
+
+    The limit of the trip updates is told only; no row is dropped by it. Every
+    minute with trip updates counts for it, for the vehicles' one the served ones.
+    """
+    wanted = served.select(*cfg.minute_key).distinct()
+    spoken = wanted.union(tu.select(*cfg.minute_key)).distinct()
+    told = tolerances(spoken, minute_lags(tu, cfg), cfg.tu_lag_secs, cfg, "tu_tolerance")
+    lags = minute_lags(vp, cfg).join(wanted, cfg.minute_key, "left_semi")
+    seen = tolerances(wanted, lags, cfg.vp_lag_secs, cfg, "vp_tolerance")
+    return seen.join(told, cfg.minute_key)

@@ -15,12 +15,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    session without it, as in tests, gets one of its own.
+    local session without it, as in tests, gets one of its own; on a cluster no
+    other machine could read that.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="stopwise-"))
     return df.checkpoint(eager=True)
 

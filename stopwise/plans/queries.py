@@ -537,6 +537,41 @@ def adaptive_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("base", F.lit(60))
 
 
+def _limit_sql(feed: str, base: int, only: str = "") -> str:
+    """``snapshot_minute``, ``tol``: the limit after each minute that has rows, by the rows' place (``event_id``)."""
+    return f"""
+      WITH r AS (
+        SELECT f.snapshot_minute, greatest(f.snapshot_minute - f.snapshot_timestamp, 0) AS lag,
+               row_number() OVER (ORDER BY f.snapshot_minute, f.event_id,
+                                  greatest(f.snapshot_minute - f.snapshot_timestamp, 0) DESC) AS i
+        FROM {feed} f {only}),
+      e AS (SELECT snapshot_minute, max(i) AS last_i FROM r GROUP BY snapshot_minute),
+      h AS (SELECT e.snapshot_minute, list_sort(list(r.lag)) AS h
+            FROM e JOIN r ON r.i > e.last_i - 60 AND r.i <= e.last_i GROUP BY e.snapshot_minute),
+      q AS (SELECT snapshot_minute, CAST(h[CAST(floor(p) AS BIGINT) + 1] AS DOUBLE) AS a,
+                   CAST(h[CAST(ceil(p) AS BIGINT) + 1] AS DOUBLE) AS b, p - floor(p) AS f
+            FROM (SELECT *, (len(h) - 1) * CAST(0.95 AS DOUBLE) AS p FROM h))
+      SELECT snapshot_minute, greatest({base}, 10 + CAST(floor(
+               CASE WHEN f < 0.5 THEN a + (b - a) * f ELSE b - (b - a) * (1 - f) END) AS BIGINT)) AS tol
+      FROM q"""
+
+
+@register(
+    "feed_limits",
+    f"""SELECT s.snapshot_minute, t.tol AS tu_tolerance,
+               coalesce(last_value(v.tol IGNORE NULLS) OVER (ORDER BY s.snapshot_minute
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 60) AS vp_tolerance
+        FROM served s JOIN ({_limit_sql("tu", 180)}) t USING (snapshot_minute)
+        LEFT JOIN ({_limit_sql("vp", 60, "JOIN served USING (snapshot_minute)")}) v
+          USING (snapshot_minute)""",
+)
+def feed_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The limits of both feeds when the last rows of a minute are those that stand last in it."""
+    cfg = replace(_PLAIN, feed_order=("event_id",))
+    tu, vp = S.trip_updates(spark, sf_dir), S.vehicles(spark, sf_dir)
+    return vehicles.feed_limits(tu, vp, _candidates(spark, sf_dir), cfg)
+
+
 @register(
     "vehicle_presence",
     """SELECT snapshot_minute, stop_id, direction_id, vehicle_ts, congestion_level,
@@ -626,11 +661,11 @@ def attached_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
     "maintenance_excluded",
     f"""SELECT event_id, ts FROM sc WHERE CAST(to_timestamp(ts) AS DATE) NOT IN (
           SELECT CAST(to_timestamp(snapshot_timestamp) AS DATE) FROM al
-          WHERE cause IN ('9', '10') AND alert_entity_id = 'A7')""",
+          WHERE cause IN ('9', '10'))""",
 )
 def maintenance_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = S.alerts(spark, sf_dir).filter("alert_entity_id = 'A7'")
-    return labels.outside_planned_days(S.scores(spark, sf_dir), planned).select("event_id", "ts")
+    alerts = S.alerts(spark, sf_dir)
+    return labels.outside_planned_days(S.scores(spark, sf_dir), alerts).select("event_id", "ts")
 
 
 @register(
@@ -1123,18 +1158,19 @@ def column_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.column_presence(feeds).withColumn("present_share", F.round("present_share", 6))
 
 
+_RATED = (*_DOUBLES.split(), "day_type", "node_degree", "hub_flag", "central_flag", "is_train_present")
+
+
 @register(
     "feature_null_rates",
-    """SELECT snapshot_timestamp, count(*) AS n_rows,
-              round(avg(CAST(headway_t IS NULL AS INTEGER)), 6) AS headway_t_null_rate,
-              round(avg(CAST(arrival_delay_t IS NULL AS INTEGER)), 6) AS arrival_delay_t_null_rate
-       FROM feat GROUP BY snapshot_timestamp""",
+    f"""SELECT snapshot_timestamp, count(*) AS n_rows,
+               {", ".join(f"round(avg(CAST({c} IS NULL AS INTEGER)), 6) AS {c}_null_rate" for c in _RATED)}
+        FROM feat GROUP BY snapshot_timestamp""",
 )
 def feature_null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = reports.feature_null_rates(_features(spark, sf_dir), ["headway_t", "arrival_delay_t"])
-    return rates.select(
-        "snapshot_timestamp", "n_rows", *rounded("headway_t_null_rate arrival_delay_t_null_rate")
-    )
+    rates = reports.feature_null_rates(_features(spark, sf_dir), _RATED)
+    shares = " ".join(f"{c}_null_rate" for c in _RATED)
+    return rates.select("snapshot_timestamp", "n_rows", *rounded(shares))
 
 
 @register(

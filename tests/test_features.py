@@ -183,3 +183,17 @@ def test_route_stops_take_the_smallest_sequence(spark):
     rows = [("R", 0, "A", 1), ("R", 0, "B", 2), ("R", 0, "B", 5), ("R", 0, "C", 3)]
     tu = spark.createDataFrame(rows, "route_id string, direction_id int, stop_id string, stop_sequence int")
     assert routes.route_map(routes.route_stops(tu)).first()["stops"] == ["A", "B", "C"]
+
+
+def test_lags_by_place_in_the_feed(spark):
+    """The last rows of a minute are those that stand last, also in a minute of more rows than are kept."""
+    from stopwise.config import FeatureConfig
+    from stopwise.operators import vehicles
+
+    cfg = FeatureConfig(feed_order=("place",), cut_lineage=False)
+    rows = [(m, m - (37 * p + m) % 500 + 20, p if p % 50 else None) for m in (6000, 6060, 6120) for p in range(90 if m == 6060 else 7)]
+    found = vehicles.minute_lags(spark.createDataFrame(rows, "snapshot_minute long, snapshot_timestamp long, place int"), cfg)
+    for row in found.collect():
+        own = [(-1 if p is None else p, -max(m - t, 0)) for m, t, p in rows if m == row.snapshot_minute]
+        assert row.lags == [-x for _, x in sorted(own)[-60:]]
+    assert found.count() == 3
