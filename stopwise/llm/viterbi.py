@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,12 @@ from stopwise.llm.common import claim, fresh, require, with_workers
 MARK = "▁"
 #: Added to the least score for characters that are no piece. Fixed value of the model's library.
 UNKNOWN_PENALTY = -10.0
-#: Words whose ids a worker keeps, the longest of them, and the characters that advance together.
-CACHE, CACHED_CHARS, BATCH = 300_000, 48, 1 << 19
+#: Words whose ids a worker keeps in each of two generations, the longest of them, and the characters that advance together.
+CACHE, CACHED_CHARS, BATCH = 200_000, 48, 1 << 19
+#: Words looked up together.
+PART = 1 << 16
+#: Stands where a text is cut; a character of private use. Texts that hold it are cut by pattern.
+CUT = "\ue000"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -63,7 +68,12 @@ class Pieces:
         self.scores = np.array([model.get_score(int(i)) for i in self.ids])
         self.least = float(self.scores.min(initial=0.0)) + UNKNOWN_PENALTY
         self.powers = _BASE ** np.arange(self.longest + 1, dtype=np.uint64)
-        self.known: dict[str, tuple[int, ...]] = {}
+        #: What a piece decodes to, and where words may be cut.
+        self.raw = [bytes([self.byte_of[i]]) if i in self.byte_of else t.encode() for i, t in enumerate(self.text)]
+        apart = not any(re.search("[A-Za-zÀ-ÖØ-öø-ɏ][.,;:!?]", self.text[i]) for i in plain)
+        self.point = re.compile(f"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])([.,;:!?])(?={MARK}|\\Z)") if apart else None
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     @classmethod
     def get(cls, path: str) -> Pieces:
@@ -74,7 +84,7 @@ class Pieces:
 
     # ---- encoding
 
-    def best_paths(self, words: list[str]) -> list[tuple[int, ...]]:
+    def best_paths(self, words: list[str]) -> list[bytes]:
         """Ids of words of one length ``n``, all advancing together."""
         n = len(words[0])
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), n)
@@ -113,60 +123,92 @@ class Pieces:
             same[live] &= chars[rows[live], starts[live] + k] == self.chars[at[live], k]
         return same
 
-    def _trace(self, words: list[str], back: np.ndarray, piece: np.ndarray) -> list[tuple[int, ...]]:
-        out = []
-        for word, starts, ids in zip(words, back.tolist(), piece.tolist(), strict=True):
-            path: list[int] = []
-            end = len(word)
-            while end:
-                if ids[end] >= 0:
-                    path.append(ids[end])
-                else:
-                    path += self._fallback(word[starts[end] : end])
-                end = starts[end]
-            out.append(tuple(reversed(path)))
+    def _trace(self, words: list[str], back: np.ndarray, piece: np.ndarray) -> list[bytes]:
+        """The words' ids as little-endian 32-bit integers: all words go back together, a piece at a time."""
+        n = len(words[0])
+        end, line = np.full(len(words), n), np.arange(len(words))
+        ids = np.full(piece.shape, -1, np.int32)  # a piece stands where it ends
+        lone = np.zeros(len(words), bool)
+        while len(line):
+            found = piece[line, end]
+            ids[line, end] = found
+            lone[line[found < 0]] = True
+            end = back[line, end]
+            line, end = line[end > 0], end[end > 0]
+        taken = ids >= 0
+        flat, cuts = ids[taken].astype("<i4").tobytes(), (4 * np.cumsum(taken.sum(1))).tolist()
+        out = [flat[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+        for k in np.flatnonzero(lone).tolist():
+            out[k] = self._with_fallback(words[k], back[k].tolist(), piece[k].tolist())
         return out
 
+    def _with_fallback(self, word: str, starts: list[int], ids: list[int]) -> bytes:
+        """The path of a word some of whose characters are no piece."""
+        path: list[int] = []
+        end = len(word)
+        while end:
+            path += [ids[end]] if ids[end] >= 0 else self._fallback(word[starts[end] : end])
+            end = starts[end]
+        return np.array(path[::-1], "<i4").tobytes()
+
     def _fallback(self, char: str) -> list[int]:
         found = [self.bytes[b] for b in reversed(char.encode())]
         return found if min(found) >= 0 else [self.unknown]
 
-    def words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of each distinct word, cached; long words advance in batches of their own."""
-        own = set(words)
-        new = {w for w in own if w not in self.known}
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = own
+    def words(self, own: set[str]) -> dict[str, bytes]:
+        """Ids of the words ``own``, among others; long words advance in batches of their own."""
+        if len(self.known) > CACHE:
+            self.before, self.known = self.known, {}
+        missing = own.difference(self.known)
+        here = {w: self.before[w] for w in missing if w in self.before}
         groups: dict[int, list[str]] = {}
-        for w in new:
-            groups.setdefault(len(w), []).append(w)
-        extra: dict[str, tuple[int, ...]] = {}
+        for w in missing:
+            if w not in here:
+                groups.setdefault(len(w), []).append(w)
         for n, group in groups.items():
             step = max(1, BATCH // (n * 16))
             for at in range(0, len(group), step):
                 part = group[at : at + step]
-                (self.known if n <= CACHED_CHARS else extra).update(zip(part, self.best_paths(part), strict=True))
-        return {w: extra[w] if w in extra else self.known[w] for w in own}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of texts; the words of all of them advance together."""
-        split = [_WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        table = self.words([w for ws in split for w in ws])
-        return [[i for w in ws for i in table[w]] for ws in split]
+                here.update(zip(part, self.best_paths(part), strict=True))
+        self.known.update((w, ids) for w, ids in here.items() if len(w) <= CACHED_CHARS)
+        if any(len(w) > CACHED_CHARS for w in missing):
+            return {w: self.known[w] for w in own if w in self.known} | here
+        return self.known
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts; the words of some of them advance together."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        group: list[tuple[int, list[str]]] = []
+        held = 0
+        for k, text in enumerate(texts):
+            words = self._split(text) if text else []
+            for at in range(0, len(words), PART):
+                group.append((k, words[at : at + PART]))
+                held += len(group[-1][1])
+                if held >= PART:
+                    self._add(group, out)
+                    group, held = [], 0
+        self._add(group, out)
+        return [np.frombuffer(b"".join(parts), "<i4") for parts in out]
+
+    def _split(self, text: str) -> list[str]:
+        """Words no piece crosses the ends of."""
+        marked = MARK + text.replace(" ", MARK)
+        if self.point is None or CUT in text or MARK * 2 in marked or marked[-1] == MARK:
+            return _WORDS.findall(marked)
+        # Each mark begins a word, and a closing point is one of its own.
+        return self.point.sub(rf"{CUT}\1", marked).replace(MARK, CUT + MARK)[1:].split(CUT)
+
+    def _add(self, group: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
+        table = self.words(set(chain.from_iterable(words for _, words in group)))
+        for k, words in group:
+            out[k].append(b"".join(map(table.__getitem__, words)))
 
     # ---- decoding
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Text of ids: runs of byte pieces are UTF-8, the mark that encoding puts in front is dropped."""
-        out = bytearray()
-        for i in ids:
-            b = self.byte_of.get(i)
-            if b is None:
-                out += self.text[i].encode()
-            else:
-                out.append(b)
-        text = out.decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -180,11 +222,15 @@ def encode_column(text: Column, model: str) -> Column:
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = Pieces.get(model)
         for texts in batches:
-            rows = []
-            for at in range(0, len(texts), 64):
-                some = [t or "" for t in texts.slice(at, 64).to_pylist()]
-                rows += [{"ids": ids, "decoded": vocabulary.decode(ids)} for ids in vocabulary.encode(some)]
-            yield pa.array(rows, kind)
+            flat: list[np.ndarray] = []
+            decoded: list[str] = []
+            for at in range(0, len(texts), 256):
+                own = vocabulary.encode([t or "" for t in texts.slice(at, 256).to_pylist()])
+                flat += own
+                decoded += map(vocabulary.decode, own)
+            offsets = np.concatenate([[0], np.cumsum([len(ids) for ids in flat])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(offsets, np.concatenate([*flat, np.empty(0, "<i4")]))
+            yield pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], fields=list(kind))
 
     return pieces.asNondeterministic()(text)
 
