@@ -30,6 +30,7 @@ PART = 1 << 16
 CUT = "\ue000"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_TOP = np.uint64(44)
 
 
 class Pieces:
@@ -65,6 +66,8 @@ class Pieces:
         self.keys, self.chars, self.ids = keys[order], chars[order], np.array(plain)[order]
         if len(np.unique(self.keys)) < len(self.keys):
             raise ValueError("two pieces have one hash")
+        self.some = np.zeros(1 << (64 - int(_TOP)), bool)  # first bits of all keys
+        self.some[self.keys >> _TOP] = True
         self.scores = np.array([model.get_score(int(i)) for i in self.ids])
         self.least = float(self.scores.min(initial=0.0)) + UNKNOWN_PENALTY
         self.powers = _BASE ** np.arange(self.longest + 1, dtype=np.uint64)
@@ -95,24 +98,28 @@ class Pieces:
         best[:, 0] = 0
         back = np.zeros((len(words), n + 1), np.int32)
         piece = np.full((len(words), n + 1), -1, np.int32)
+        line = np.arange(len(words))
         for end in range(1, n + 1):
             reach = min(end, self.longest)
             sizes = np.arange(reach, 0, -1)  # the longest first: it wins ties
             starts = end - sizes
             keys = (prefix[:, end, None] - prefix[:, starts] * self.powers[sizes]) ^ (sizes.astype(np.uint64) << np.uint64(58))
-            at = np.searchsorted(self.keys, keys)
+            rows, cols = np.nonzero(self.some[keys >> _TOP])  # the others are no key
+            own = keys[rows, cols]
+            at = np.searchsorted(self.keys, own)
             at[at == len(self.keys)] = 0
-            hit = self.keys[at] == keys
-            rows, cols = np.nonzero(hit)
-            same = self._verified(chars, rows, starts[cols], sizes[cols], at[rows, cols])
-            hit[rows[~same], cols[~same]] = False
-            score = np.where(hit, best[:, starts] + self.scores[at], -np.inf)
-            lone = ~hit[:, -1]  # a character that is no piece by itself
+            hit = self.keys[at] == own
+            rows, cols, at = rows[hit], cols[hit], at[hit]
+            same = self._verified(chars, rows, starts[cols], sizes[cols], at)
+            rows, cols, at = rows[same], cols[same], at[same]
+            score = np.full(keys.shape, -np.inf)
+            score[rows, cols] = best[rows, starts[cols]] + self.scores[at]
+            found = np.full(keys.shape, -1, np.int32)
+            found[rows, cols] = self.ids[at]
+            lone = found[:, -1] < 0  # a character that is no piece by itself
             score[lone, -1] = best[lone, end - 1] + self.least
             pick = np.argmax(score, axis=1)
-            line = np.arange(len(words))
-            best[:, end], back[:, end] = score[line, pick], starts[pick]
-            piece[:, end] = np.where(hit[line, pick], self.ids[at[line, pick]], -1)
+            best[:, end], back[:, end], piece[:, end] = score[line, pick], starts[pick], found[line, pick]
         return self._trace(words, back, piece)
 
     def _verified(self, chars, rows, starts, sizes, at) -> np.ndarray:
