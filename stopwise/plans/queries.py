@@ -659,13 +659,14 @@ def attached_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "maintenance_excluded",
-    f"""SELECT event_id, ts FROM sc WHERE CAST(to_timestamp(ts) AS DATE) NOT IN (
-          SELECT CAST(to_timestamp(snapshot_timestamp) AS DATE) FROM al
-          WHERE cause IN ('9', '10'))""",
+    f"""SELECT event_id, ts FROM (SELECT event_id, {_SPREAD} AS ts FROM ev)
+        WHERE CAST(to_timestamp(ts) AS DATE) NOT IN (
+          SELECT CAST(to_timestamp(snapshot_timestamp) AS DATE) FROM al WHERE cause IN ('9', '10'))""",
 )
 def maintenance_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = S.alerts(spark, sf_dir)
-    return labels.outside_planned_days(S.scores(spark, sf_dir), alerts).select("event_id", "ts")
+    """All alerts against times spread over the year: every day of the alerts has planned works."""
+    scored = S.spread_times(spark, sf_dir).withColumnRenamed("e2", "ts")
+    return labels.outside_planned_days(scored, S.alerts(spark, sf_dir)).select("event_id", "ts")
 
 
 @register(
