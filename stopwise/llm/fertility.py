@@ -34,8 +34,8 @@ class FertilityConfig:
     """``model``: path of a public vocabulary with byte fallback, readable on every worker.
 
     A band reaches ``width`` quartile distances, at least ``floor``, from the median, upwards ``up`` times as far,
-    plus ``slack`` over the root of the number of tokens, as short texts scatter more. Below ``least`` tokens, and in
-    groups of fewer than ``least_docs`` documents, only the base rules hold.
+    plus ``slack`` over the root of the number of tokens, as short texts scatter more. All of it is ``1 + few / n`` times
+    as wide in a group of ``n`` documents, as its quartiles are less sure; every group and every text has a band.
     """
 
     model: str
@@ -49,8 +49,7 @@ class FertilityConfig:
     up_chars: float = 1.0
     up_share: float = 1.0
     up_entropy: float = 2.5
-    least: int = 40
-    least_docs: int = 30
+    few: float = 8.0
     min_words: int = 20
     most_repeated: int = 30
 
@@ -190,19 +189,19 @@ _BANDED = {"chars_per_token": "chars", "byte_share": "share", "token_entropy": "
 
 
 def bands(measured: DataFrame, group: Column, cfg: FertilityConfig) -> DataFrame:
-    """By ``grp`` and ``octave``: ``<m>_mid`` and ``<m>_iqr`` of each measure over all documents with enough tokens.
+    """By ``grp`` and ``octave``: ``<m>_mid`` and ``<m>_iqr`` of each measure over all documents that pass the base rules, and their number ``<m>_n``.
 
     Values go to a fixed grid and are counted first, so what is gathered for a group is bounded by the grid.
     """
-    told = measured.where((F.col("m.n_tokens") >= cfg.least) & ~base_failed("m", cfg))
+    told = measured.where((F.col("m.n_tokens") > 0) & ~base_failed("m", cfg))
     by = [group.alias("grp"), length_class().alias("octave")]
     out = None
     for name in _BANDED:
         bins = told.groupBy(*by, F.round(F.col(f"m.{name}") * GRID).cast("long").alias("bin")).count()
         quartiles = F.percentile("bin", F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)]), F.col("count")).alias("q")
-        q = bins.groupBy("grp", "octave").agg(quartiles, F.sum("count").alias("n")).where(F.col("n") >= cfg.least_docs)
+        q = bins.groupBy("grp", "octave").agg(quartiles, F.sum("count").alias(f"{name}_n"))
         mid, iqr = F.col("q")[1] / GRID, (F.col("q")[2] - F.col("q")[0]) / GRID
-        part = q.select("grp", "octave", mid.alias(f"{name}_mid"), iqr.alias(f"{name}_iqr"))
+        part = q.select("grp", "octave", mid.alias(f"{name}_mid"), iqr.alias(f"{name}_iqr"), f"{name}_n")
         out = part if out is None else out.join(part, ["grp", "octave"])
     return out
 
@@ -218,13 +217,14 @@ def base_failed(m: str, cfg: FertilityConfig) -> Column:
 
 
 def outside(name: str, cfg: FertilityConfig) -> Column:
-    """Whether a measure lies outside its group's band. Without a band, or below ``least`` tokens, it doesn't."""
+    """Whether a measure lies outside its group's band. Without tokens, or where all of the group fail the base rules, it doesn't."""
     kind = _BANDED[name]
     half = cfg.width * F.greatest(F.col(f"{name}_iqr"), F.lit(getattr(cfg, f"floor_{kind}")))
     half = half + getattr(cfg, f"slack_{kind}") / F.sqrt(F.greatest(F.col("m.n_tokens"), F.lit(1)))
+    half = half * (1 + cfg.few / F.col(f"{name}_n"))
     away = F.col(f"m.{name}") - F.col(f"{name}_mid")
     off = (-away > half) | (away > half * getattr(cfg, f"up_{kind}"))
-    return F.coalesce(off & (F.col("m.n_tokens") >= cfg.least), F.lit(False))
+    return F.coalesce(off, F.lit(False))
 
 
 def rate(docs: DataFrame, cfg: FertilityConfig, folder: str | None = None, keep_text: bool = True) -> DataFrame:
@@ -232,7 +232,8 @@ def rate(docs: DataFrame, cfg: FertilityConfig, folder: str | None = None, keep_
 
     The group of a text is its ``lang``, or its script where ``lang`` is null, blank or no column. Null and empty texts
     have no words, fail the base rules and are not kept. All rows count, repeated ones as often as they occur; an empty
-    table gives an empty result. Other columns are passed on, those named like a result are replaced.
+    table gives an empty result; very long texts are measured whole, some words at a time; a value on a band's edge is
+    inside. Other columns are passed on, those named like a result are replaced.
     """
     require(docs, "text")
     with_workers(docs)
@@ -243,9 +244,7 @@ def rate(docs: DataFrame, cfg: FertilityConfig, folder: str | None = None, keep_
         base = base.select("doc_id", "text", *[c for c in ("lang",) if c in base.columns])
     folder = folder or shared_root(spark)
     columns = [c for c in base.columns if keep_text or c != "text"]
-    raw = base.withColumn("__m", measures(F.col("text"), cfg.model)).select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d"), F.col("__m").alias("m")
-    )
+    raw = base.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d"), measures(F.col("text"), cfg.model).alias("m"))
     measured = written(raw, folder, "measured")
     lang = F.nullif(F.trim(F.col("d.lang").cast("string")), F.lit("")) if "lang" in columns else F.lit(None).cast("string")
     group = F.coalesce(lang, F.concat(F.lit("script "), F.col("m.script")))
