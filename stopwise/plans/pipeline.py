@@ -25,18 +25,23 @@ def generate_features(
     start: int | None = None,
     end: int | None = None,
     cfg: FeatureConfig = FeatureConfig(),
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """Features of every minute both feeds have a file for, ends included.
 
     Reads the tables and the manifest :func:`ingest_feeds` writes; the routes come
     from all trip updates, the features from those in the range. Stored features
     outside the range stay. A row is looked for in the folders of its minute's date
-    and of the days before and after.
+    and of the days before and after. With ``skip_unreadable`` the routes come from those
+    files of the trip updates that can be read, of which every footer is opened; an
+    unreadable file of the range fails.
     """
-    feeds = {f: spark.read.parquet(f"{processed_root}/{f}") for f in ("trip_updates", "vehicle_positions")}
+    updates, positions = (f"{processed_root}/{f}" for f in ("trip_updates", "vehicle_positions"))
+    readable = spark.read.options(ignoreCorruptFiles=skip_unreadable, mergeSchema=skip_unreadable).parquet(updates)
+    feeds = {"trip_updates": spark.read.schema(readable.schema).parquet(updates), "vehicle_positions": spark.read.parquet(positions)}
     manifest = spark.read.parquet(f"{processed_root}/manifest")
     minutes = in_range(usable_minutes(manifest, cfg.scope), start, end, "snapshot_minute")
-    stops = routes.route_stops(feeds["trip_updates"], cfg.scope)
+    stops = routes.route_stops(readable, cfg.scope)
     chosen = {
         name: in_range(df, start, end, "snapshot_minute", slack_days=1)
         .drop("year", "month", "day")

@@ -1113,9 +1113,11 @@ def _profile_sql() -> str:
         numeric = kind != "string"
         order = f"CAST({c} AS DOUBLE)" if numeric else c
         stats = (
-            f"round(avg({c}), 4) AS mean, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50"
+            f"""round(avg({c}), 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 2) AS std,
+                CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, """
+            + ", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), 0.{q}), 6) AS q{q}" for q in (25, 50, 75))
             if numeric
-            else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS q50"
+            else ", ".join(f"CAST(NULL AS DOUBLE) AS {s}" for s in "mean std min max q25 q50 q75".split())
         )
         parts.append(
             f"""SELECT '{c}' AS "column", '{kind}' AS dtype, count({c}) AS non_null,
@@ -1133,8 +1135,8 @@ def _profile_sql() -> str:
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = reports.column_profile(S.vehicles(spark, sf_dir).select(*_PROFILED))
     return profile.select(
-        "column", "dtype", "non_null", "n_unique", "pct_missing", *rounded("mean", 4),
-        *rounded("q50"), "sample_values",
+        "column", "dtype", "non_null", "n_unique", "pct_missing", *rounded("mean", 4), *rounded("std", 2),
+        "min", "max", *rounded("q25 q50 q75"), "sample_values",
     )
 
 

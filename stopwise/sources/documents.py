@@ -55,6 +55,7 @@ def read_documents(
     feed: str,
     start: str | None = None,
     end: str | None = None,
+    minute_rule: str = "file",
 ) -> DataFrame:
     """One row per raw file with its name; ``start`` and ``end`` select by name, inclusive.
 
@@ -75,7 +76,7 @@ def read_documents(
         docs = docs.filter(stamp >= _bound(spark, start))
     if end is not None:
         docs = docs.filter(stamp <= _bound(spark, end))
-    return with_snapshot_minute(docs)
+    return with_snapshot_minute(docs, minute_rule)
 
 
 def parse_documents(df: DataFrame, text: str, feed: str) -> DataFrame:
@@ -94,6 +95,8 @@ def with_snapshot_minute(docs: DataFrame, minute_rule: str = "file") -> DataFram
     """
     header = F.col("header.timestamp")
     of_header = header - F.pmod(header, F.lit(60))
+    if minute_rule not in ("file", "header"):
+        raise ValueError(f"Unknown minute rule: {minute_rule}")
     if minute_rule == "header":
         return docs.withColumn("snapshot_minute", of_header)
     stamp = clock.file_time(F.col("file_name"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -221,12 +222,14 @@ def ingest_feeds(
     start: str | None = None,
     end: str | None = None,
     scope: dict[str, str] | None = None,
+    minute_rule: str = "file",
 ) -> dict[str, int]:
     """Flatten the raw files of each feed into dated tables, a manifest and rejects.
 
     Returns the number of rejected records of this run per feed. A file that was read
     before, by its name and ``scope``, takes the place of what it left then; a folder
-    keeps to one set of scope columns. The manifest is written first, so that a run
+    keeps to one set of scope columns. ``minute_rule`` is that of
+    :func:`documents.with_snapshot_minute`. The manifest is written first, so that a run
     that broke off is found there and repeated safely.
     """
     lost, key = {}, ["file_name", *(scope or {})]
@@ -234,14 +237,14 @@ def ingest_feeds(
         glob = documents.find_feed_files(spark, raw_root, feed)
         if glob is None:
             continue
-        docs = documents.read_documents(spark, glob, feed, start, end)
+        docs = documents.read_documents(spark, glob, feed, start, end, minute_rule)
         for name, value in (scope or {}).items():
             docs = docs.withColumn(name, F.lit(value))
         seen = checkpointed(documents.manifest(docs, feed))
-        again = _replace_seen(seen, f"{out_root}/manifest", feed, key)
-        rows, path = documents.flatten(docs, feed), f"{out_root}/{feed}"
-        if again:
-            _replace_files(rows, path, seen.select(*key), key)
+        before = _replace_seen(seen, f"{out_root}/manifest", feed, key)
+        rows, path, again = documents.flatten(docs, feed), f"{out_root}/{feed}", before is not None
+        if before is not None:
+            _replace_files(rows, path, seen, key, before)
         else:
             write_by_date(rows, path)
         lost[feed] = seen.agg(F.coalesce(F.sum(F.col("n_rejected") + F.col("unreadable")), F.lit(0))).first()[0]
@@ -249,47 +252,56 @@ def ingest_feeds(
     return lost
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def _stored(spark: SparkSession, path: str, merge: bool = True) -> DataFrame | None:
+    """What ``path`` holds. With ``merge`` the files' columns are put together, which opens every footer."""
     some = any(documents.matches(spark, f"{path}/{p}") for p in ("*=*", "part-*"))
-    return spark.read.option("mergeSchema", True).parquet(path) if some else None
+    return spark.read.option("mergeSchema", merge).parquet(path) if some else None
 
 
-def _replace_seen(seen: DataFrame, path: str, feed: str, key: Sequence[str]) -> bool:
-    """Put the documents of a run into the manifest; whether some were there already."""
+def _dates(df: DataFrame, epoch: str) -> set[date]:
+    """London dates of ``epoch``; at most one a day."""
+    day = F.make_date(*[c.cast("int") for c in clock.partition_columns(epoch, clock.LONDON).values()])
+    return {r[0] for r in df.filter(F.col(epoch).isNotNull()).select(day).distinct().collect()}
+
+
+def _replace_seen(seen: DataFrame, path: str, feed: str, key: Sequence[str]) -> set[date] | None:
+    """Put the documents of a run into the manifest.
+
+    Returns the dates of those that were there already, or ``None`` without such ones.
+    """
     stored = _stored(seen.sparkSession, path)
     known = stored.filter(F.col("feed") == feed) if stored is not None else None
     names = seen.select(*key)
-    again = known is not None and set(key) <= set(known.columns) and not known.join(names, list(key), "left_semi").isEmpty()
-    writer = seen.write.mode("append")
-    if again:
+    writer, before = seen.write.mode("append"), None
+    if known is not None and set(key) <= set(known.columns):
+        earlier = checkpointed(known.join(names, list(key), "left_semi"))
+        before = None if earlier.isEmpty() else _dates(earlier, "header_timestamp")
+    if before is not None:
         others = checkpointed(known.join(names, list(key), "left_anti"))
         both = others.unionByName(seen, allowMissingColumns=True)
         writer = both.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("feed").parquet(path)
-    return again
+    return before
 
 
-def _replace_files(rows: DataFrame, path: str, names: DataFrame, key: Sequence[str]) -> None:
-    """Write ``rows`` in place of all stored rows of the files ``names``.
+def _replace_files(rows: DataFrame, path: str, seen: DataFrame, key: Sequence[str], before: set[date]) -> None:
+    """Write ``rows`` in place of all stored rows of the files ``seen``.
 
-    Only the dates that hold rows of these files, before or now, are written again.
+    Rows are stored by the header's date, which the manifest has: only the dates
+    ``before`` and those of ``seen`` are read and written again.
     """
     spark = rows.sparkSession
-    stored = _stored(spark, path)
+    stored = _stored(spark, path, merge=False)
     if stored is None or not set(key) <= set(stored.columns):
         write_by_date(rows, path)
         return
-    dates = rows.select(*[c.cast("int").alias(n) for n, c in clock.partition_columns("snapshot_timestamp", clock.LONDON).items()])
-    before = stored.join(names, list(key), "left_semi").select(*[F.col(c).cast("int").alias(c) for c in _DATE])
-    touched = checkpointed(dates.unionByName(before).distinct())
-    others = stored.withColumns({c: F.col(c).cast("int") for c in _DATE}).join(touched, _DATE, "left_semi")
-    others = checkpointed(others.join(names, list(key), "left_anti").drop(*_DATE))
+    now = _dates(seen.filter("n_rows > 0"), "header_timestamp")
+    touched = before | now
+    held = stored.filter(F.make_date(*[F.col(c).cast("int") for c in _DATE]).isin(*touched)) if touched else stored.limit(0)
+    others = checkpointed(held.join(seen.select(*key), list(key), "left_anti").drop(*_DATE))
     write_by_date(rows.unionByName(others, allowMissingColumns=True), path, mode="overwrite")
-    left = dates.unionByName(
-        others.select(*[c.cast("int").alias(n) for n, c in clock.partition_columns("snapshot_timestamp", clock.LONDON).items()])
-    )
-    for r in touched.join(left, _DATE, "left_anti").toLocalIterator():  # dates, at most one a day
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year={r.year:04d}/month={r.month:02d}/day={r.day:02d}")
+    for day in touched - now - _dates(others, "snapshot_timestamp"):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year={day.year:04d}/month={day.month:02d}/day={day.day:02d}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 

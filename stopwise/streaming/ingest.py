@@ -31,11 +31,11 @@ def stream_texts(
     return files.select("body", "file_name", feed.alias("feed"))
 
 
-def feed_documents(texts: DataFrame, feed: str) -> DataFrame:
+def feed_documents(texts: DataFrame, feed: str, minute_rule: str = "file") -> DataFrame:
     """Parsed documents of one feed out of :func:`stream_texts` rows."""
     mine = texts.filter(F.col("feed") == feed).select("body", "file_name")
     parsed = documents.parse_documents(mine, "body", feed)
-    return documents.with_snapshot_minute(parsed)
+    return documents.with_snapshot_minute(parsed, minute_rule)
 
 
 def ingest_stream(
@@ -46,6 +46,7 @@ def ingest_stream(
     feeds: Sequence[str] = FEEDS,
     max_files: int | None = None,
     trigger: dict | None = None,
+    minute_rule: str = "file",
 ) -> StreamingQuery:
     """Keep the flat tables and the manifest of ``out_root`` up to date.
 
@@ -55,7 +56,7 @@ def ingest_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         for feed in feeds:
-            docs = feed_documents(batch, feed)
+            docs = feed_documents(batch, feed, minute_rule)
             rows = documents.flatten(docs, feed).withColumns(
                 {**clock.partition_columns("snapshot_timestamp"), "ingest_batch": F.lit(batch_id)}
             )

@@ -1,3 +1,4 @@
+import pytest
 from test_streaming import small_feed, write_minute, write_updates, write_vehicles
 
 from stopwise.config import DetectorConfig
@@ -55,3 +56,20 @@ def test_a_range_run_again_leaves_no_old_rows(spark, tmp_path):
     assert stored() == sorted([r for r in outside if r[0] >= 2 * day] + [(3 * day, 2)])
     tables.replace_range(frame([(9 * day, 3)]), path, None, None, zone="UTC")
     assert stored() == [(9 * day, 3)]
+
+
+def test_routes_of_the_readable_files(spark, tmp_path):
+    tu, vp, minutes = small_feed(6)
+    for m in minutes:
+        write_updates(tmp_path / "raw", tu, m)
+        write_vehicles(tmp_path / "raw", vp, m)
+    p = tmp_path / "processed"
+    ingest_feeds(spark, f"{tmp_path}/raw", str(p))
+    whole = pipeline.generate_features(spark, str(p), f"{tmp_path}/whole", minutes[1], minutes[4])
+    far = p / "trip_updates/year=2001/month=01/day=01"
+    far.mkdir(parents=True)
+    (far / "part-broken.parquet").write_bytes(b"PAR1 no table PAR1")
+    some = pipeline.generate_features(spark, str(p), f"{tmp_path}/some", minutes[1], minutes[4], skip_unreadable=True)
+    assert sorted(map(str, some.collect())) == sorted(map(str, whole.collect()))
+    with pytest.raises(Exception, match="(?i)parquet|footer|file"):
+        pipeline.generate_features(spark, str(p), f"{tmp_path}/none", minutes[1], minutes[4])

@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import datetime, timezone
 
 import pytest
@@ -247,3 +248,36 @@ def test_replay_splits_one_crowded_second(spark):
     batches = tables.replay_batches(df, 1000, order=("snapshot_timestamp", "id"))
     assert batches.groupBy("batch_id").count().filter("count <> 1000").count() == 0
     assert batches.filter("position <> id + 1").count() == 0
+
+
+def test_a_file_read_again_opens_only_its_dates(spark, raw, monkeypatch):
+    root, out = f"{raw}/raw", f"{raw}/out"
+    stops = [{"stop_sequence": 1, "stop_id": "A", "arrival": {"delay": 5, "time": 1741290000}}]
+    for days in range(1, 4):
+        write(raw / "raw/trip_updates", f"2025_06_0{3 + days}_16_50_00.json", trip_document(1741279856 + 86400 * days, stops))
+    tables.ingest_feeds(spark, root, out, ["trip_updates"])
+    held = {}
+    plain = tables.checkpointed
+
+    def noted(df):
+        files = {f for f in df.inputFiles() if "/out/trip_updates/" in f}
+        if files:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            held["plan"], held["rows"] = plan, df.count()
+        return plain(df)
+
+    monkeypatch.setattr(tables, "checkpointed", noted)
+    again = raw / "again/trip_updates"
+    write(again, "2025_06_05_16_50_00.json", trip_document(1741279856 + 86400 * 2, []))
+    tables.ingest_feeds(spark, str(raw / "again"), out, ["trip_updates"])
+    assert held["rows"] == 0 and re.search(r"PartitionFilters: \[[^]]*make_date", held["plan"])
+    assert not (raw / "out/trip_updates/year=2025/month=03/day=08").exists()  # its only document has no row now
+    assert {p.name for p in (raw / "out/trip_updates/year=2025/month=03").iterdir() if p.is_dir()} == {"day=06", "day=07", "day=09"}
+
+
+def test_minutes_of_the_header_if_asked_for(spark, raw):
+    tables.ingest_feeds(spark, f"{raw}/raw", f"{raw}/out", ["trip_updates"], minute_rule="header")
+    stored = spark.read.parquet(f"{raw}/out/trip_updates").collect()
+    assert stored and all(r.snapshot_minute == r.snapshot_timestamp // 60 * 60 for r in stored)
+    with pytest.raises(ValueError, match="minute rule"):
+        tables.ingest_feeds(spark, f"{raw}/raw", f"{raw}/out", ["trip_updates"], minute_rule="body")
