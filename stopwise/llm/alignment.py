@@ -6,14 +6,16 @@ to one; at the first difference the irregular group is resolved token by token a
 
 Both tokenizers encode what follows a lone space as if it began the text, so texts are cut there and each stretch is
 encoded and aligned once for as long as a worker remembers it; the same holds at lone line feeds and before marks after
-letters, as no piece crosses them.
+letters, as no piece crosses them. For the same reason new stretches are encoded many in one text, and one by one only
+where a tokenizer doesn't give that text back.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -29,6 +31,8 @@ MARK = "▁"
 CACHE, CACHED_CHARS = 160_000, 32
 #: Stretches of a text taken at a time, so that a very long text isn't held as a list of all its stretches' results.
 PART = 1 << 18
+#: Characters of texts whose stretches are looked up together, and new stretches encoded as one text.
+TOGETHER, JOINED = 1 << 19, 64
 #: A space, or a lone line feed, between two characters that no tokenizer takes for white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 _BLANK = re.compile(r"[ \n]\s|\s[ \n]")
@@ -51,29 +55,38 @@ def stretches_of(text: str) -> list[str]:
     return _POINT.sub(f" {GLUED}\\1", text).replace("\n", f" {GLUED}\n").split(" ")
 
 
-def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Index pairs ``(i, j)`` with ``a[i] == b[j]`` of two ascending lists that end alike."""
-    out: list[tuple[int, int]] = []
+def diagonal_runs(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """Starts ``i``, starts ``j`` and lengths of runs with ``a[i + k] == b[j + k]``, of two ascending lists that end alike."""
+    starts_a, starts_b, lengths = [], [], []
     i = j = 0
-    while i < len(a) and j < len(b):
-        step = 1
-        while step:
-            if a[i : i + step] == b[j : j + step]:
-                most = min(step, len(a) - i, len(b) - j)  # equal slices are as long as each other
-                out += zip(range(i, i + most), range(j, j + most), strict=True)
-                i, j, step = i + most, j + most, 2 * step
-                if i == len(a) or j == len(b):
-                    return out
-            else:
-                step = 1 if step > 2 and a[i] == b[j] else 0
-        while a[i] != b[j]:
-            if a[i] < b[j]:
+    size_a, size_b = len(a), len(b)
+    while i < size_a and j < size_b:
+        x, y = a[i], b[j]
+        while x != y:
+            if x < y:
                 i += 1
+                x = a[i]
             else:
                 j += 1
-        out.append((i, j))
+                y = b[j]
+        starts_a.append(i)
+        starts_b.append(j)
+        first, step = i, 1
         i, j = i + 1, j + 1
-    return out
+        while i < size_a and j < size_b and a[i] == b[j]:
+            step *= 2
+            if a[i : i + step] == b[j : j + step]:
+                most = min(step, size_a - i, size_b - j)  # equal slices are as long as each other
+            else:
+                most = step = 1
+            i, j = i + most, j + most
+        lengths.append(i - first)
+    return starts_a, starts_b, lengths
+
+
+def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Index pairs ``(i, j)`` with ``a[i] == b[j]`` of two ascending lists that end alike."""
+    return [(i + k, j + k) for i, j, n in zip(*diagonal_runs(a, b), strict=True) for k in range(n)]
 
 
 def byte_letters() -> dict[str, int]:
@@ -92,6 +105,7 @@ class Pair:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -108,6 +122,9 @@ class Pair:
             raise ValueError("a piece crosses the end of a word")
         self.a_sizes = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
+        # Ids as text with what follows them: A ids inside and at the end of a group, then B ids.
+        names = [f"{i}{sign}".encode() for of, signs in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for sign in signs for i in range(len(of))]
+        self.names, self.name_sizes = np.array(names, object), np.array([len(n) for n in names], np.int64)
         self.known: dict[str, tuple[bytes, bytes, int, int]] = {}
         self.before: dict[str, tuple[bytes, bytes, int, int]] = {}
         self.points = {}
@@ -140,49 +157,76 @@ class Pair:
             found.update(i << 32 | j for k in range(len(t)) for i in by_a.get(t[k:], ()))
         return np.array(sorted(found), np.int64)
 
-    def _whole(self, parts: list[str], glued: set[int], of_a: list[list[int]], of_b: list[list[int]]) -> list[int]:
-        """Indexes of the stretches that both tokenizers give back."""
-        flat_a, flat_b = (list(chain.from_iterable(x)) for x in (of_a, of_b))
-        raw = [p[1:].encode() if k in glued else b" " + p.encode() for k, p in enumerate(parts)]
-        sizes = [len(r) for r in raw]
-        if b"".join(raw) == b"".join(map(self.a_bytes.__getitem__, flat_a)) == b"".join(map(self.b_bytes.__getitem__, flat_b)):
-            ends = np.cumsum(sizes)  # equal as a whole; each by itself if the ends agree as well
-            own = (np.concatenate([[0], np.cumsum(s[f])])[np.cumsum([len(x) for x in of])] for s, f, of in ((self.a_sizes, flat_a, of_a), (self.b_sizes, flat_b, of_b)))
-            if all(np.array_equal(ends, e) for e in own):
-                return list(range(len(parts)))
-        join = lambda table, ids: b"".join(map(table.__getitem__, ids))
-        return [k for k, (r, x, y) in enumerate(zip(raw, of_a, of_b, strict=True)) if join(self.a_bytes, x) == r == join(self.b_bytes, y)]
+    def _fits(self, raw: bytes, ids_a: list[int], ids_b: list[int], ends: np.ndarray) -> bool:
+        """Whether both tokenizers give ``raw`` back, with a token's end at each of the ``ends``."""
+        if not raw == b"".join(map(self.a_bytes.__getitem__, ids_a)) == b"".join(map(self.b_bytes.__getitem__, ids_b)):
+            return False
+        return all(np.isin(ends, np.cumsum(sizes[ids])).all() for sizes, ids in ((self.a_sizes, ids_a), (self.b_sizes, ids_b)))
 
     def _results(self, parts: list[str], plain: bool = False) -> list[tuple[bytes, bytes, int, int]]:
         """For each stretch: groups as text, codes of its links, numbers of tokens.
 
-        ``LOST`` for a stretch that a tokenizer doesn't give back. All stretches are aligned in one go: their ends are
-        laid behind each other, so that a stretch's end is a shared one.
+        ``LOST`` for a stretch that a tokenizer doesn't give back. ``plain``: the sign ``GLUED`` is a text's own.
         """
-        glued = {k for k, p in enumerate(parts) if p[:1] == GLUED and not plain}
-        of_a = [e.ids for e in self.a.encode_batch_fast([p[1:] if k in glued else " " + p for k, p in enumerate(parts)], add_special_tokens=False)]
-        of_b = self.b.encode([p[1:] if k in glued else p for k, p in enumerate(parts)], num_threads=1)
-        for k in glued:
-            of_b[k] = of_b[k][1:]  # without the space that the model puts in front
+        parts = list(parts)
+        glued = [not plain and p[:1] == GLUED for p in parts]
+        single = [plain or p[:1].isspace() or p[-1:].isspace() for p in parts]
+        order = sorted((k for k, x in enumerate(single) if not x), key=glued.__getitem__)
+        units = [order[at : at + JOINED] for at in range(0, len(order), JOINED)]
+        for unit in units:
+            if glued[unit[0]]:  # it follows a word, as any
+                unit.insert(0, len(parts))
+                parts.append("a")
+                glued.append(False)
+        units += [[k] for k, x in enumerate(single) if x]
         out: list = [LOST] * len(parts)
-        whole = self._whole(parts, glued, of_a, of_b)
-        flat_a = list(chain.from_iterable(of_a[k] for k in whole))
-        flat_b = list(chain.from_iterable(of_b[k] for k in whole))
-        ends_a, ends_b = np.cumsum(self.a_sizes[flat_a]).tolist(), np.cumsum(self.b_sizes[flat_b]).tolist()
-        shared = shared_ends(ends_a, ends_b)
-        codes = np.array([flat_a[i] << 32 | flat_b[j] for i, j in shared], np.int64).tobytes()
-        name_a, name_b = list(map(str, flat_a)), list(map(str, flat_b))
-        groups, i0, j0 = [], 0, 0
-        for i, j in shared:
-            groups.append(f"{name_a[i]}|{name_b[j]}" if i == i0 and j == j0 else f"{','.join(name_a[i0 : i + 1])}|{','.join(name_b[j0 : j + 1])}")
-            i0, j0 = i + 1, j + 1
-        n_a, n_b = [len(of_a[k]) for k in whole], [len(of_b[k]) for k in whole]
-        last = np.searchsorted([i for i, _ in shared], np.cumsum(n_a)).tolist()  # groups that begin before a stretch's end
-        first = 0
-        for k, end, of_a_k, of_b_k in zip(whole, last, n_a, n_b, strict=True):
-            out[k] = (";".join(groups[first:end]).encode(), codes[8 * first : 8 * end], of_a_k, of_b_k)
-            first = end
-        return out
+        while units:
+            lost = self._align(units, parts, glued, out)
+            units = [[k] for unit in lost if len(unit) > 1 for k in unit]
+        return out[: len(single)]
+
+    def _align(self, units: list[list[int]], parts: list[str], glued: list[bool], out: list) -> list[list[int]]:
+        """Put the results of the stretches into ``out``, each unit encoded as one text; the units that get lost.
+
+        All are aligned in one go: their ends are laid behind each other, so that a stretch's end is a shared one.
+        """
+        texts = ["".join(parts[k][1:] if glued[k] else " " + parts[k] for k in unit) for unit in units]
+        of_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        alone = [glued[unit[0]] for unit in units]
+        of_b = self.b.encode([t if g else t[1:] for t, g in zip(texts, alone, strict=True)], num_threads=1)
+        of_b = [ids[1:] if g else ids for ids, g in zip(of_b, alone, strict=True)]  # without the space that the model puts in front
+        raw = [t.encode() for t in texts]
+        sizes = [[len(parts[k].encode()) + (1 - len((" " + GLUED).encode()) if glued[k] else 1) for k in unit] for unit in units]
+        join = chain.from_iterable
+        ends = np.cumsum(list(join(sizes)))
+        lost: list[list[int]] = []
+        if not self._fits(b"".join(raw), list(join(of_a)), list(join(of_b)), ends):
+            fine = [self._fits(*x[:3], np.cumsum(x[3])) for x in zip(raw, of_a, of_b, sizes, strict=True)]
+            lost = [unit for unit, x in zip(units, fine, strict=True) if not x]
+            units, of_a, of_b, sizes = ([v for v, x in zip(of, fine, strict=True) if x] for of in (units, of_a, of_b, sizes))
+            ends = np.cumsum(list(join(sizes)), dtype=np.int64)
+        a, b = np.fromiter(join(of_a), np.int64), np.fromiter(join(of_b), np.int64)
+        ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        of_i, of_j, lengths = (np.array(x, np.int64) for x in diagonal_runs(ends_a.tolist(), ends_b.tolist()))
+        step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        i, j = np.repeat(of_i, lengths) + step, np.repeat(of_j, lengths) + step
+        codes = (a[i] << 32 | b[j]).tobytes()
+        # Groups as text: the A ids of a group, then its B ids.
+        name = np.empty(len(a) + len(b), np.int64)
+        of_group = np.searchsorted(i, np.arange(len(a)))
+        name[np.arange(len(a)) + np.concatenate([[0], j + 1])[of_group]] = a + len(self.a_bytes) * (i[of_group] == np.arange(len(a)))
+        of_group = np.searchsorted(j, np.arange(len(b)))
+        name[np.arange(len(b)) + i[of_group] + 1] = b + 2 * len(self.a_bytes) + len(self.b_bytes) * (j[of_group] == np.arange(len(b)))
+        groups = b"".join(self.names[name].tolist())
+        n_a, n_b = np.searchsorted(ends_a, ends, "right"), np.searchsorted(ends_b, ends, "right")
+        place = np.concatenate([[0], np.cumsum(self.name_sizes[name])])[n_a + n_b].tolist()
+        last = np.searchsorted(i, n_a).tolist()  # groups that begin before a stretch's end
+        n_a, n_b = np.diff(n_a, prepend=0).tolist(), np.diff(n_b, prepend=0).tolist()
+        first = start = 0
+        for k, end, stop, of_a_k, of_b_k in zip(join(units), last, place, n_a, n_b, strict=True):
+            out[k] = (groups[start : stop - 1], codes[8 * first : 8 * end], of_a_k, of_b_k)
+            first, start = end, stop
+        return lost
 
     def _learn(self, own: list[str], found: list) -> None:
         """Fill the gaps of ``found``, from the older generation or by encoding; the newer one becomes the older when full."""
@@ -200,22 +244,52 @@ class Pair:
 
     def document(self, text: str) -> tuple[int, int, str, bytes]:
         """Numbers of tokens, digest of the groups and codes of the links; all empty if a tokenizer loses something."""
-        n_a = n_b = 0
-        digest, links, joint = hashlib.sha256(), [], b""
-        stretches = [text] if GLUED in text else stretches_of(text)  # a text that holds the sign itself is one stretch
-        for at in range(0, len(stretches), PART):
-            own = stretches[at : at + PART]
-            found = list(map(self.known.get, own)) if GLUED not in text else self._results(own, plain=True)
-            if None in found:
-                self._learn(own, found)
-            if LOST in found:
-                return 0, 0, "", b""
-            groups, codes, of_a, of_b = zip(*found, strict=True)
-            digest.update(joint + b";".join(groups))
-            joint = b";"
-            links.append(b"".join(codes))
-            n_a, n_b = n_a + sum(of_a), n_b + sum(of_b)
-        return n_a, n_b, digest.hexdigest(), b"".join(links)
+        if GLUED in text:  # a text that holds the sign itself is one stretch
+            return _joined([self._results([text], plain=True)])
+        stretches = stretches_of(text) if text else []
+        return _joined(self._found(stretches[at : at + PART]) for at in range(0, len(stretches), PART))
+
+    def documents(self, texts: Iterable[str | None]) -> Iterator[tuple[int, int, str, bytes]]:
+        """``document`` of every text, those of some ``TOGETHER`` characters looked up together; null counts as empty."""
+        some: list[str] = []
+        size = 0
+        for text in texts:
+            some.append(text or "")
+            size += len(some[-1])
+            if size > TOGETHER:
+                yield from self._group(some)
+                some, size = [], 0
+        yield from self._group(some)
+
+    def _group(self, texts: list[str]) -> Iterator[tuple[int, int, str, bytes]]:
+        apart = [not t or len(t) > TOGETHER or GLUED in t for t in texts]
+        lists = [[] if x else stretches_of(t) for t, x in zip(texts, apart, strict=True)]
+        found = self._found(list(chain.from_iterable(lists)))
+        at = 0
+        for text, own, x in zip(texts, lists, apart, strict=True):
+            yield self.document(text) if x else _joined([found[at : at + len(own)]])
+            at += len(own)
+
+    def _found(self, own: list[str]) -> list[tuple[bytes, bytes, int, int]]:
+        found = list(map(self.known.get, own))
+        if None in found:
+            self._learn(own, found)
+        return found
+
+
+def _joined(parts: Iterable[list[tuple[bytes, bytes, int, int]]]) -> tuple[int, int, str, bytes]:
+    """The results of a text's stretches as one, a part of them at a time; without any, or with a lost one, all empty."""
+    n_a = n_b = 0
+    digest, links, joint = hashlib.sha256(), [], b""
+    for found in parts:
+        groups, codes, of_a, of_b = zip(*found, strict=True)
+        if min(of_a) < 0:
+            return 0, 0, "", b""
+        digest.update(joint + b";".join(groups))
+        joint = b";"
+        links.append(b"".join(codes))
+        n_a, n_b = n_a + sum(of_a), n_b + sum(of_b)
+    return n_a, n_b, digest.hexdigest() if links else "", b"".join(links)
 
 
 _NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"]
@@ -234,17 +308,15 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             at, rows, size = 0, [], 0
-            for k in range(len(texts)):
-                text = texts[k].as_py()
-                n_a, n_b, digest, links = pair.document(text) if text else (0, 0, "", b"")
+            for k, (n_a, n_b, digest, links) in enumerate(pair.documents(t.as_py() for t in texts), 1):
                 n = len(links) // 8
                 rows.append((n_a, n_b, n, n, digest, links))
                 size += len(links)
-                if size > 1 << 25 or k + 1 == len(texts):  # bounded by bytes, not rows
+                if size > 1 << 25 or k == len(texts):  # bounded by bytes, not rows
                     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                     yield pa.RecordBatch.from_arrays([ids.slice(at, len(rows)), *columns], _NAMES)
-                    at, rows, size = k + 1, [], 0
+                    at, rows, size = k, [], 0
 
     longs = [T.StructField(n, T.LongType()) for n in _NAMES[1:5]]
     kind = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *longs, T.StructField("groups_sha256", T.StringType()), T.StructField("links", T.BinaryType())])

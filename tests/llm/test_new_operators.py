@@ -93,6 +93,34 @@ def test_shared_ends():
     assert alignment.shared_ends([], []) == []
 
 
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.texts = inner, 0
+
+    def encode_batch_fast(self, texts, **more):
+        self.texts += len(texts)
+        return self.inner.encode_batch_fast(texts, **more)
+
+
+def test_new_stretches_are_encoded_together(codecs):
+    """Few texts for a tokenizer, the same results; a stretch that one of them changes loses its own text only."""
+    pick = random.Random(11)
+    texts = [" ".join(f"{pick.choice(['', 'é', '日', '(', '<s>'])}w{pick.randint(0, 3000)}{pick.choice(['', '.', chr(10) + 'x', 's'])}" for _ in range(60)) for _ in range(120)]
+    pair = alignment.Pair(A, B)
+    pair.a = Counted(pair.a)
+    got = list(pair.documents([*texts, None, ""]))
+    stretches = {s for t in texts for s in alignment.stretches_of(t)}
+    assert len(stretches) > 3000 and pair.a.texts < len(stretches) / 20
+    texts += ["a\u2581b c", " lead", "\nline one\ntwo", "tail \t", "\ue000.", "\nx", "only", "w1 " * 400_000]
+    texts = [*texts[100:], *texts[:100]]
+    for t, (n_a, n_b, digest, links) in zip([*texts, ""], alignment.Pair(A, B).documents([*texts, None]), strict=True):
+        a, b, pairs, want = plain_alignment(codecs, t)
+        assert (n_a, n_b, digest, links) == (a, b, want, np.array([x << 32 | y for x, y in pairs], np.int64).tobytes())
+    assert len(got) == 122 and got[-2:] == [(0, 0, "", b"")] * 2
+
+
 def test_links_are_bounded_by_the_vocabularies(spark, codecs):
     possible = codecs[2].pairs()
     out = alignment.aligned(queries.table(spark, SMALL, "documents"), A, B)
