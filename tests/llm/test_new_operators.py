@@ -180,6 +180,24 @@ def test_phrases_of_many_tries_and_other_settings(spark):
     assert phrases(collocations.mine(table(spark, rows), cfg)) == plain_phrases(rows, 5, 80, 20, 4)
 
 
+def test_tries_of_a_pass_hold_ranges(spark, monkeypatch):
+    """Few passes for many tries; parts stay bounded where many phrases begin alike, and lose none."""
+    keys = [(lang, f"{first} {k}") for lang in ("en", "a\nb") for first in ("common begin", "zeta", "b") for k in range(100)]
+    candidates = spark.createDataFrame([(a.encode(), b.encode()) for a, b in keys], "lang binary, phrase binary")
+    out, n = collocations.dealt(candidates, 50)
+    rows = out.collect()
+    assert sorted((bytes(r.lang).decode(), bytes(r.phrase).decode()) for r in rows) == sorted(keys)
+    sizes = Counter(r.part for r in rows)
+    assert set(sizes) <= set(range(n)) and n <= 20 and max(sizes.values()) <= 90
+    passes, counts = [], collocations.counts
+    monkeypatch.setattr(collocations, "counts", lambda texts, parts: passes.append(1) or counts(texts, parts))
+    words = [f"w{k}" for k in range(60)]
+    texts = [(k, " ".join(words), "en") for k in range(10)]
+    cfg = collocations.PhraseConfig(keys=12)
+    assert phrases(collocations.mine(table(spark, texts), cfg)) == plain_phrases(texts)
+    assert len(passes) <= 4
+
+
 def test_phrases_of_small_chunks_and_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(collocations, "STEP", 64)
     rows = some_texts(3, 40) + [(99, "new york city hall\t" * 50_000, "en")]
