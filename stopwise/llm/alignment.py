@@ -28,11 +28,11 @@ from stopwise.llm.common import claim, require, shared_root, with_workers, writt
 
 MARK = "▁"
 #: Stretches in each of a worker's two generations of remembered ones, and the longest of them in characters.
-CACHE, CACHED_CHARS = 160_000, 32
+CACHE, CACHED_CHARS = 60_000, 32
 #: Stretches of a text taken at a time, so that a very long text isn't held as a list of all its stretches' results.
 PART = 1 << 18
 #: Characters of texts whose stretches are looked up together, and new stretches encoded as one text.
-TOGETHER, JOINED = 1 << 19, 64
+TOGETHER, JOINED = 1 << 17, 64
 #: A space, or a lone line feed, between two characters that no tokenizer takes for white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 _BLANK = re.compile(r"[ \n]\s|\s[ \n]")
