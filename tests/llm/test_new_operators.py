@@ -198,6 +198,63 @@ def test_tries_of_a_pass_hold_ranges(spark, monkeypatch):
     assert len(passes) <= 4
 
 
+def test_passes_do_not_grow_with_the_tries(spark, monkeypatch):
+    """The texts are read once for the words, once for each size of phrases and once for the windows, however many tries there are."""
+    rows = some_texts(4, 300) + [(900 + k, "b c d e, c d e", lang) for k in range(12) for lang in ("a", "a\nb c", "a\nb c d")]
+    passes, seen, kind = [], [], type(spark.range(0))
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **b: passes.append(self.columns) or plain(self, *a, **b))
+    for keys in (200_000, 5):
+        passes.clear()
+        assert phrases(collocations.mine(table(spark, rows), collocations.PhraseConfig(keys=keys))) == plain_phrases(rows)
+        seen.append(passes.count(["lang", "text"]))
+    assert seen == [4, 4]
+
+
+def test_windows_hold_every_possible_phrase():
+    """A phrase occurs as often as windows begin with it."""
+    rows = [(t, lang) for _, t, lang in some_texts(6, 60) if lang]
+    words = collocations.Words([t.encode() for t, _ in rows], [lang.encode() for _, lang in rows])
+    full = np.full(collocations.BITS // 8, 255, np.uint8)
+    begun = Counter()
+    for size, at, n in collocations.windows(words, [full] * 3):
+        for lang, phrase, times in zip(words.lang[at], words.phrases(at, size), n, strict=True):
+            for k in range(2, size + 1):
+                begun[lang, k, b" ".join(phrase.split(b" ")[:k])] += times
+    want = Counter()
+    for size in (2, 3):
+        fine = [i for i in range(len(words.start) - size + 1) if words.joined[i : i + size - 1].all()]
+        want.update((words.lang[i], size, p) for i, p in zip(fine, words.phrases(np.array(fine), size), strict=True))
+    assert begun == want
+
+
+def test_equal_numbers_are_of_equal_words():
+    pick = random.Random(7)
+    every = [bytes(pick.choices(b"xy", k=pick.choice([1, 7, 8, 9, 16, 63, 64, 65, 200]))) for _ in range(60)]
+    every += [w[:-1] + b"z" for w in every]
+    words = collocations.Words([b" ".join(pick.choices(every, k=1000)) for _ in range(3)], [b"en", b"en", b"fr"])
+    own = collocations.phrase_hashes(words.hashes(), collocations._lang_hashes(words), 1)
+    spoken = [*zip(words.lang.tolist(), words.phrases(np.arange(len(words.start)), 1), strict=True)]
+    assert len({*zip(words.ids(own).tolist(), spoken, strict=True)}) == len(set(spoken)) == len(set(words.ids(own).tolist()))
+    for hashes in (own % np.uint64(16), own & np.uint64(0)):  # many words share one
+        ids = words.ids(hashes).tolist()
+        assert len({*zip(ids, spoken, strict=True)}) == len(set(ids)) > len(set(spoken))
+        assert len(set(ids)) < len(ids)
+        for size in (1, 2, 40):  # the numbers of 40 words don't fit 64 bits
+            first = np.arange(len(spoken) - 39)
+            at, n = collocations._distinct(words.ids(own), first, size)
+            want = Counter(tuple(spoken[i : i + size]) for i in first)
+            assert Counter({tuple(spoken[i : i + size]): k for i, k in zip(first[at], n, strict=True)}) == want and len(at) == len(want)
+
+
+def test_tables_grow_with_the_phrases(spark):
+    codes = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 5000)
+    frame = spark.createDataFrame([(int(c),) for c in codes], "code long")
+    for n, bits in ((5000, collocations.BITS), (collocations.BITS // 16, collocations.BITS * 2), (1 << 40, collocations.MOST_BITS)):
+        table = collocations.bit_table(frame, n)
+        assert 8 * len(table) == bits and collocations._holds(table, codes.view(np.uint64)).all()
+
+
 def test_phrases_of_small_chunks_and_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(collocations, "STEP", 64)
     rows = some_texts(3, 40) + [(99, "new york city hall\t" * 50_000, "en")]
